@@ -5,13 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilake.functions.text import NULL_TOKENS, strip
+from vigilake.llm import canonical as C
 from vigilake.llm import encode as E
 from vigilake.llm import leak as L
+from vigilake.llm import pairs as P
 from vigilake.llm import split as S
 from vigilake.runtime import read
 
 LIMIT, OVERLAP = 512, 64
 
+# Words beside a product's name that change nothing about which drug is meant.
+ADDITIONS = ("tablets", "capsules", "injection", "cream", "syrup", "drops", "liquid", "oral", "generic", "blinded", "unknown strength", "study drug", "placebo")
+
+
+def _baskets(spark: SparkSession, d: str) -> DataFrame:
+    fact = read(spark, d, "adult_fact")
+    drug, reaction = F.concat(F.lit("D:"), strip(F.col("rxcui"))), F.concat(F.lit("R:"), F.col("meddra_concept_id").cast("string"))
+    return P.baskets(fact, F.col("safetyreportid"), drug, reaction)
+
+
+def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair, with its counts and scores."""
+    return P.pairs(_baskets(spark, d))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return P.pairs(_baskets(spark, d), min_count=5, min_share=(3, 1000), min_lift=3).select("item_a", "item_b")
+
+
+def _listed(spark: SparkSession, d: str, column: str) -> list[str]:
+    """The distinct texts of a column of the product list, which is bounded in size."""
+    table = read(spark, d, "adult_drugs_enriched")
+    values = F.explode(column) if dict(table.dtypes)[column].startswith("array") else F.col(column)
+    return sorted(r[0] for r in table.select(values.alias("x")).distinct().collect() if r[0])
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    products = read(spark, d, "adult_drugs_enriched")
+    several = (F.size("ingredients") > 1) & (F.coalesce("rxcui_tty", F.lit("")) != "BN")
+    components = F.when(several, F.col("ingredients")).otherwise(F.array(F.coalesce("basename", "medicinal_product")))
+    products = products.select(F.col("rxcui").alias("target"), F.col("medicinal_product").alias("name"), components.alias("components"))
+    terms = read(spark, d, "pt_soc_dictionary").select(F.col("meddra_concept_id").alias("target"), F.col("meddra_concept_name").alias("name"))
+    terms = terms.withColumn("components", F.filter(F.split("name", r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    ignorable = [w for c in ("dosage_form", "qualifier", "salt") for w in _listed(spark, d, c)]
+    drugs = C.match_values(read(spark, d, "drugcharacteristics_extended"), "drug", "medicinal_product", "safetyreportid", products, NULL_TOKENS, [*ignorable, *ADDITIONS])
+    reactions = C.match_values(read(spark, d, "reactions"), "reaction", "reaction_meddrapt", "safetyreportid", terms, NULL_TOKENS, separators=False)
+    return drugs.unionByName(reactions)
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The values no entry is meant by, most frequent first in reports."""
+    found = p5_found(spark, d).filter(F.col("target_id") == "UNMATCHED")
+    return found.groupBy("field", "raw_value").agg(F.count(F.lit(1)).alias("n_reports"))
+
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return E.encode(read(spark, d, "documents"))
@@ -48,6 +95,10 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p4_found": p4_found,
+    "p4_pairs": p4_pairs,
+    "p5_found": p5_found,
+    "p5_unmatched": p5_unmatched,
     "p7_ids": p7_ids,
     "p7_roundtrip": p7_roundtrip,
     "p8_found": p8_found,
@@ -56,4 +107,17 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_pieces": p9_pieces,
 }
-SQL: dict[str, str] = {}
+_PAIRS = """
+with r as (select distinct safetyreportid s, 'D:' || trim(rxcui) i from adult_fact where safetyreportid is not null and rxcui is not null
+           union select distinct safetyreportid, 'R:' || cast(meddra_concept_id as varchar) from adult_fact where safetyreportid is not null and meddra_concept_id is not null),
+     c as (select i, count(*) n from r group by i),
+     t as (select count(distinct safetyreportid) n from adult_fact),
+     p as (select a.i item_a, b.i item_b, count(*) n_ab from r a join r b on a.s = b.s and a.i < b.i group by 1, 2)
+"""
+SQL: dict[str, str] = {
+    "p4_found": _PAIRS + "select item_a, item_b from p join c a on a.i = item_a join c b on b.i = item_b, t where n_ab >= 5 and 1000 * n_ab >= 3 * t.n and n_ab * t.n >= 3 * a.n * b.n",
+    "p4_pairs": _PAIRS
+    + """select item_a, item_b, n_ab, a.n n_a, b.n n_b, t.n n, (n_ab / a.n) * (t.n / b.n) lift,
+         case when n_ab < a.n then (1 - b.n / t.n) / (1 - n_ab / a.n) end conviction
+         from p join c a on a.i = item_a join c b on b.i = item_b, t""",
+}
