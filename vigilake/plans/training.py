@@ -87,4 +87,95 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_by_period": p6_by_period,
 }
-SQL: dict[str, str] = {}
+
+# SQL for the same results, written independently of the operators.
+_CELLS = r"""
+with raw as (
+  select safetyreportid, coalesce(entry, 0) entry,
+         regexp_replace(regexp_replace(lower(key), '[\s._-]+', '', 'g'), '^openfda', '') k,
+         regexp_replace(value, '^\s+|\s+$', '', 'g') v
+  from patient_drug_openfda),
+kept as (select * from raw where v is not null and v not in ('', 'NA', 'NaN', 'null', 'NULL')),
+cells as (
+  select safetyreportid, entry, k,
+    v as text,
+    case when k = 'rxcui' and regexp_full_match(v, '[+-]?\d+(\.0+)?') then try_cast(regexp_replace(v, '\..*$', '') as bigint) end whole,
+    case when k = 'strengthmg' and regexp_full_match(v, '[+-]?(\d+([.,]\d*)?|[.,]\d+)([eE][+-]?\d+)?') then try_cast(replace(v, ',', '.') as double) end number,
+    case when k <> 'isoriginalpackager' then null when lower(v) in ('true', 'yes', 'y', '1') then true when lower(v) in ('false', 'no', 'n', '0') then false end flag,
+    case when k <> 'effectivetime' then null
+         when regexp_full_match(v, '\d{8}') then cast(try_strptime(v, '%Y%m%d') as date)
+         when regexp_full_match(v, '\d{4}-\d{1,2}-\d{1,2}') then cast(try_strptime(v, '%Y-%m-%d') as date)
+         when regexp_full_match(v, '\d{4}/\d{1,2}/\d{1,2}') then cast(try_strptime(v, '%Y/%m/%d') as date)
+         when regexp_full_match(v, '\d{1,2} [A-Za-z]{3} \d{4}') then cast(try_strptime(v, '%d %b %Y') as date) end dt
+  from kept),
+wide as (
+  select safetyreportid, entry,
+    list_sort(list(distinct whole) filter (where whole is not null)) rxcui,
+    %s,
+    list_sort(list(distinct dt) filter (where dt is not null)) effective_time,
+    bool_or(flag) is_original_packager,
+    list_sort(list(distinct number) filter (where number is not null)) strength_mg
+  from cells
+  where k in (%s)
+  group by safetyreportid, entry),
+good as (select * from wide where %s)
+"""
+_TEXTS = [a.name for a in W.OPENFDA if a.kind == "string"]
+_CELLS = _CELLS.replace("%Y%m%d", "#1").replace("%Y-%m-%d", "#2").replace("%Y/%m/%d", "#3").replace("%d %b %Y", "#4") % (
+    ", ".join(f"list_sort(list(distinct text) filter (where k = '{n.replace('_', '')}')) {n}" for n in _TEXTS),
+    ", ".join(f"'{a.name.replace('_', '')}'" for a in W.OPENFDA),
+    " or ".join(f"{a.name} is not null" for a in W.OPENFDA),
+)
+_CELLS = _CELLS.replace("#1", "%Y%m%d").replace("#2", "%Y-%m-%d").replace("#3", "%Y/%m/%d").replace("#4", "%d %b %Y")
+
+_KEYS = """
+with k as (select 'rxcui' key_field, trim(rxcui) key_value, safetyreportid from adult_fact
+           union all select 'reaction_meddrapt', upper(trim(reaction_meddrapt)), safetyreportid from adult_fact),
+c as (select key_field, key_value, count(*) n_rows, count(distinct safetyreportid) n_reports,
+             count(*) / (select count(*) from adult_fact) share
+      from k where key_value is not null group by 1, 2)
+"""
+
+
+def _plain(c: str) -> str:
+    t = f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    return f"case when {t} = '' then null when regexp_full_match({t}, '[0-9]+([.]0*)?') then cast(try_cast(regexp_replace({t}, '[.].*$', '') as bigint) as varchar) else {t} end"
+
+
+def _product(c: str) -> str:
+    return f"nullif(upper(trim(regexp_replace({c}, '\\s+', ' ', 'g'))), '')"
+
+
+_CHILDREN = " union all ".join(f"select '{t}' child_table, strftime(load_ts, '%Y-%m') period, {_plain('safetyreportid')} id, load_ts from {t}" for t in ("patient", "reactions", "drugcharacteristics_extended"))
+_ORPHANS = f"""
+with parent as (select {_plain("safetyreportid")} id, min(load_ts) first_load from report group by 1),
+gone as (select distinct {_plain("safetyreportid")} id from report_nullified),
+listed as (select distinct {_product("medicinal_product")} p from adult_drugs_enriched),
+out as (select distinct {_product("medicinal_product")} p from quarantine),
+own as (
+  select distinct child_table, period, c.id safetyreportid, c.id ref_value,
+         case when p.id is not null then 'late' when g.id is not null then 'deleted' else 'missing' end kind
+  from ({_CHILDREN}) c left join parent p on c.id = p.id left join gone g on c.id = g.id
+  where c.id is not null and (p.id is null or p.first_load > c.load_ts)),
+fact as (
+  select distinct 'adult_fact' child_table, strftime(load_ts, '%Y-%m') period, {_plain("safetyreportid")} safetyreportid,
+         {_product("medicinal_product")} ref_value,
+         case when {_product("medicinal_product")} in (select p from out where p is not null) then 'deleted' else 'missing' end kind
+  from adult_fact
+  where {_product("medicinal_product")} is not null and {_product("medicinal_product")} not in (select p from listed where p is not null)),
+found as (select * from own union all select * from fact)
+"""
+SQL: dict[str, str] = {
+    "p1_wide": _CELLS + "select * from good",
+    "p1_found": _CELLS + " union all ".join(f"select safetyreportid, entry, '{a.name}' attribute from good where {a.name} is not null" for a in W.OPENFDA),
+    "p3_counts": _KEYS + "select * from c",
+    "p3_found": _KEYS + "select key_field, key_value from c where share >= 0.02",
+    "p3_ages": """
+with r as (select trim(rxcui) k, age_years v from adult_fact where rxcui is not null),
+w as (select k, v, count(*) n from r group by 1, 2),
+m as (select k, v, n, row_number() over (partition by k order by n desc, v) o from w where v is not null),
+t as (select k, count(*) n_rows, count(distinct v) n_values, quantile_cont(cast(v as double), 0.5) p50, quantile_cont(cast(v as double), 0.9) p90 from r group by 1)
+select 'rxcui' key_field, t.k key_value, n_rows, n_values, m.n mode_weight, m.v mode_value, p50, p90 from t left join m on t.k = m.k and m.o = 1""",
+    "p6_found": _ORPHANS + "select * from found",
+    "p6_by_period": _ORPHANS + "select child_table, period, kind, count(*) n_references, count(distinct ref_value) n_keys from found group by 1, 2, 3",
+}
