@@ -14,6 +14,7 @@ columns of the input, whatever their names, are ignored. An empty table gives an
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -161,8 +162,11 @@ def widen(df: DataFrame, attributes: tuple[Attribute, ...] = OPENFDA, entity: st
         (e, n), register = item
         return (e, n, *(ENCODERS[kind](register[i]) if i in register else None for i, kind in encoders))
 
-    pairs = cells(df, attributes, entity, entry, key, value).rdd.map(lambda r: ((r[0], r[1]), (r[2], r[3])))
-    rows = pairs.combineByKey(_open, _put, _union, numPartitions=shuffle_partitions(spark)).map(encode)
+    source = cells(df, attributes, entity, entry, key, value)
+    # An RDD's stages show no query plan: the name says what they read.
+    named = source.rdd.setName("cells of " + ", ".join(sorted({re.sub(r"(\.parquet)/.*", r"\1", f) for f in df.inputFiles()})[:3]))
+    rows = named.map(lambda r: ((r[0], r[1]), (r[2], r[3])))
+    rows = rows.combineByKey(_open, _put, _union, numPartitions=shuffle_partitions(spark)).map(encode)
     return spark.createDataFrame(rows, schema, verifySchema=False)
 
 
