@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 # Texts that stand for a missing value.
 NULL_TOKENS = ("", "NA", "NaN", "null", "NULL")
 
-# White space, the invisible joiners and the byte order mark, at both ends.
-_ENDS = r"(?U)^[\s\u200b\ufeff]+|[\s\u200b\ufeff]+$"
+# Every kind of white space, the zero-width space and the byte order mark.
+WHITE = " \t\n\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\u200b\ufeff"
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, _ENDS, "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def null_tokens(c: Column) -> Column:

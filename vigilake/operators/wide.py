@@ -77,8 +77,9 @@ def _squash(name: str) -> str:
 
 def _slot(key: Column, attributes: tuple[Attribute, ...]) -> Column:
     squashed = F.regexp_replace(F.regexp_replace(F.lower(key), r"(?U)[\s.\-_]+", ""), "^openfda", "")
+    direct = F.create_map(*(F.lit(x) for i, a in enumerate(attributes) for x in (a.name, i)))
     slots = F.create_map(*(F.lit(x) for i, a in enumerate(attributes) for x in (_squash(a.name), i)))
-    return F.try_element_at(slots, squashed)
+    return F.coalesce(F.try_element_at(direct, key), F.try_element_at(slots, squashed))
 
 
 def _canonical(kind: str, v: Column) -> Column:
@@ -107,14 +108,18 @@ def _canonical(kind: str, v: Column) -> Column:
 
 def cells(df: DataFrame, attributes: tuple[Attribute, ...] = OPENFDA, entity: str = "safetyreportid", entry: str = "entry", key: str = "key", value: str = "value") -> DataFrame:
     """(entity, entry, slot, cell): one row per readable attribute-value row, by column expressions only."""
-    kinds = sorted({a.kind for a in attributes})
-    flat = df.select(F.col(entity).alias("e"), F.coalesce(F.col(entry).cast("bigint"), F.lit(0)).alias("n"), _slot(F.col(key), attributes).alias("s"), strip(F.col(value)).alias("v"))
-    flat = flat.filter(F.col("s").isNotNull() & F.col("v").isNotNull() & ~F.col("v").isin(*NULL_TOKENS))
+    own = F.struct(F.col(entity).alias("e"), F.coalesce(F.col(entry).cast("bigint"), F.lit(0)).alias("n"), _slot(F.col(key), attributes).alias("s"), strip(F.col(value)).alias("v"))
+    flat = df.select(_if_kept(own, lambda x: x["s"].isNotNull() & x["v"].isNotNull() & ~x["v"].isin(*NULL_TOKENS))).select("x.*")
     cell = None
-    for kind in kinds:
+    for kind in sorted({a.kind for a in attributes}):
         of = F.col("s").isin(*(i for i, a in enumerate(attributes) if a.kind == kind))
         cell = F.when(of, _canonical(kind, F.col("v"))) if cell is None else cell.when(of, _canonical(kind, F.col("v")))
-    return flat.select("e", "n", "s", cell.alias("c")).filter(F.col("c").isNotNull())
+    return flat.select(_if_kept(F.struct("e", "n", "s", cell.alias("c")), lambda x: x["c"].isNotNull())).select("x.*")
+
+
+def _if_kept(row: Column, test: Callable[[Column], Column]) -> Column:
+    """Explodes a list of the row, or of nothing. A filter would be pushed below and work the row out twice."""
+    return F.explode(F.filter(F.array(row), test)).alias("x")
 
 
 # The register file of an entity: slot -> set of canonical texts. Module level, so that they travel by name.
