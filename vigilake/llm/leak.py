@@ -13,7 +13,7 @@ Every text is read once, in one scan, without shuffle. The index of one block of
 is broadcast; more items are searched block by block.
 
 Defined results: null, empty and blank texts give nothing, nor do items shorter than a passage; repeated documents are
-each reported; repeated item ids each count; a pair is reported once. Closing questions that many items share aren't
+each reported; an item id with several texts is reported once per document, with its best passage. Closing questions that many items share aren't
 used as evidence for candidates, and being shorter than a passage can't be one. Extra columns are ignored.
 """
 
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SHINGLE = 3  # words
 HASHES = 40
@@ -317,14 +318,15 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     words of an item with at most one word in ``damage`` changed, added or dropped."""
     spark = docs.sparkSession
     schema = T.StructType([docs.schema[key], items.schema[item_key], *(T.StructField(n, T.IntegerType()) for n in ("n_words", "n_edits", "first_word"))])
+    item_type = to_arrow_type(items.schema[item_key].dataType)
     asked = items.select(F.col(item_key).alias("k"), F.col(item_text).cast("string").alias("t")).filter(F.col("t").isNotNull())
     n, chars = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
     blocks = max(1, -(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
     texts = docs.select(F.col(key), F.col(text).cast("string"))
     out = None
     for b in range(blocks):
-        own = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("k", "t"), F.lit(blocks)) == b)
-        rows = own.collect()  # one bounded block of the items
+        own = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("k"), F.lit(blocks)) == b)
+        rows = own.distinct().collect()  # one bounded block of the items
         ix = index([r[0] for r in rows], [r[1] for r in rows], closings([r[1] for r in rows]), passage, damage)
         shipped = spark.sparkContext.broadcast(ix)
 
@@ -333,10 +335,14 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             for batch in batches:
                 for at in range(0, batch.num_rows, SLICE):
                     part = batch.slice(at, SLICE)
-                    found = list(search(ix, part.column(1).to_pylist(), damage)) if ix.item_ids else []
+                    found: dict[tuple, tuple] = {}  # an id that several texts have gives one row, of the best passage
+                    for t, i, *rest in search(ix, part.column(1).to_pylist(), damage) if ix.item_ids else ():
+                        pair = (t, ix.item_ids[i])
+                        if pair not in found or rest[0] - damage * rest[1] > found[pair][0] - damage * found[pair][1]:
+                            found[pair] = tuple(rest)
                     if found:
-                        t, i, *rest = zip(*found)
-                        columns = [part.column(0).take(pa.array(t)), pa.array([ix.item_ids[x] for x in i]), *(pa.array(c, pa.int32()) for c in rest)]
+                        t, i = zip(*found)
+                        columns = [part.column(0).take(pa.array(t)), pa.array(i, item_type), *(pa.array(c, pa.int32()) for c in zip(*found.values()))]
                         yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         one = texts.mapInArrow(run, schema)

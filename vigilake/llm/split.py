@@ -9,7 +9,8 @@ after that point. Each piece is encoded again by itself; if that gives more toke
 
 Defined results: null, empty and blank texts, and all of at most ``limit`` tokens, give no piece (or one, with
 ``all_texts``; null gives none); pieces in order cover the text without gap; line ends and odd characters stay as they
-are; one long word is cut hard; repeated rows give repeated pieces. Extra columns are ignored.
+are; one long word is cut hard, but nothing is cut between two neighbouring token ends that split no character, even if
+a limit of a few tokens is less than that; repeated rows give repeated pieces. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,10 +89,15 @@ def pieces(e: Encoder, text: str, ids: np.ndarray, limit: int, overlap: int, fil
                 cut = cut or _last(levels[-1], most)
                 if cut <= done:
                     cut = _last(whole, most)
-                if cut <= done:  # a character longer than the limit
-                    cut = int(whole[np.searchsorted(whole, done, "right")])
+            if cut <= done:
+                if start < done:  # nothing new fits beside the overlap: do without it
+                    start, most = done, done + limit
+                    continue
+                cut = int(whole[np.searchsorted(whole, done, "right")])  # more tokens to the next character than the limit
+                own = tokens(start, cut)
+                break
             own = tokens(start, cut)
-            if own <= limit or cut - 1 <= done:
+            if own <= limit:
                 break
             most = cut - 1
         out.append((int(char[start]), int(char[cut]), own, done - start if out else 0))
