@@ -20,7 +20,7 @@ def test_text(spark):
 
 def test_names(spark):
     assert each(spark, N.title_case, ["drug-induced liver", "ÉCOLE d'azur", ""]) == ["Drug-Induced Liver", "École D'Azur", ""]
-    assert each(spark, N.clean_name, [" ＡＢ^C ", "FILM?COATED", "X.ALPHA.TOCO", "CLONAZEPAM.", "1.4 MG", None, "..."]) == ["AB C", "FILM-COATED", "Xalpha-TOCO", "CLONAZEPAM", "1.4 MG", "", "..."]
+    assert each(spark, N.clean_name, [" ＡＢ^C ", "FILM?COATED", "X.ALPHA.TOCO", "CLONAZEPAM.", "1.4 MG", None, "..."]) == ["AB C", "FILM-COATED", "Xalpha-TOCO", "CLONAZEPAM", "1.4 MG", "", "."]
     assert each(spark, N.base_name, ["ASPIRIN 10 MG TABLET", "TAB (IBUPROFEN)", "HCL", "Paracetamol Pfizer oral"]) == ["ASPIRIN", "IBUPROFEN", "HCL", "PARACETAMOL"]
     assert each(spark, N.strip_to_name, ["Drug-X (Y) 10 mg tab, 5/10."]) == ["DRUG-X"]
     assert each(spark, N.clean_ingredient, [".ALPHA. TOCO-PHEROL 3 2H B12"]) == ["ALPHA TOCO PHEROL"]

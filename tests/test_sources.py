@@ -74,7 +74,8 @@ def test_write_resume_manifest(spark, tmp_path):
     assert json.loads((tmp_path / "m.json").read_text())["outputs"] == {"out": 10}
     assert "| percent | 0.00 |" in writers.quality_summary("t", 0, 0, {})
     assert writers.summary(spark.createDataFrame([(1,), (None,)], "a int"), ("a",)).first().n_unique_a == 2
-    assert writers.merge_batches(spark, [path, path], "id").count() == 20
+    assert writers.write(df, str(tmp_path / "two")) == 10
+    assert writers.merge_batches(spark, [str(tmp_path / "two")], "id").count() == 10
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
