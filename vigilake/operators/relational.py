@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilake.functions.values import count_percent, percent
+from vigilake.runtime import cut
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -39,8 +40,9 @@ def count_back(df: DataFrame, keys: Sequence[Column], order: Sequence[str], coun
 
 
 def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Running numbers from 1 in ``order``, without one task for all rows: ranges are counted, then offset."""
-    parts = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    """Running numbers from 1 in ``order``, without one task for all rows: ranges are counted, then offset. The ranges are
+    written once, as sampling their bounds anew could move rows."""
+    parts = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     local = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
     offsets = sizes.withColumn("_o", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_o")
