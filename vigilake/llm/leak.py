@@ -41,7 +41,7 @@ BLOCK_ITEMS, BLOCK_CHARS = 5_000, 5_000_000  # of one broadcast index
 KEPT_WORDS = 500_000  # words kept in a worker before it starts anew
 
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
-_TAG = re.compile(r"<[^<>]{1,60}>")
+_TAG = re.compile(r"<[/!|?]?[A-Za-z][^<>]{0,80}>")  # a sign of less before a blank or number is none
 _WORD = re.compile(r"[^\W_]+")
 
 
