@@ -132,3 +132,9 @@ def similar(a: Column, b: Column) -> Column:
         return pd.Series([None if p is None or q is None else SequenceMatcher(None, p.lower(), q.lower()).ratio() for p, q in zip(x, y)], dtype="float64")
 
     return ratio(a, b)
+
+
+def first_name(block: Column) -> Column:
+    """The first name of a record's NAME block: up to the line's end, without brackets and the semicolon at its end."""
+    line = F.regexp_extract(block, r"(?m)^NAME\s+(.+)$", 1)
+    return F.nullif(strip(F.regexp_replace(F.regexp_replace(line, r"\s*\([^)]*\)", ""), r";\s*$", "")), F.lit(""))

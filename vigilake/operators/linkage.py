@@ -106,6 +106,19 @@ def best_by_type(candidates: DataFrame, key: str, order: Sequence[str] = ("IN",
     return candidates.groupBy(key).agg(F.min_by(F.struct("rxcui", "tty"), F.struct(rank, "rxcui")).alias("_b")).select(key, "_b.rxcui", "_b.tty")
 
 
+def ingredient_status(df: DataFrame, names: str, table: DataFrame, key: str) -> DataFrame:
+    """Adds ``statuses``: for each name of a list, in order, ``exact`` if the table has it, ``approx`` if one of its names
+    is similar, else ``not_found``."""
+    each = df.select(key, F.posexplode(names).alias("_at", "_n"))
+    distinct = by_name(each.select("_n").distinct(), F.col("_n"), table).withColumn("_exact", F.col("_hit").isNotNull()).drop("_hit")
+    open_names = distinct.filter(~F.col("_exact")).select("_n")
+    near = nearest(open_names, "_n", "_n", table).select("_n", F.col("_hit").isNotNull().alias("_near"))
+    status = F.when(F.col("_exact"), "exact").when(F.coalesce("_near", F.lit(False)), "approx").otherwise("not_found")
+    found = distinct.join(near, "_n", "left").select("_n", status.alias("_s"))
+    lists = each.join(found, "_n").groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_s"))), lambda x: x["_s"]).alias("statuses"))
+    return df.join(lists, key, "left")
+
+
 def quarantine_reason(name: Column, rxcui: Column) -> Column:
     odd = any_pattern(name)
     return F.when(rxcui.isNull() & odd, "no_rxcui_and_suspicious").when(rxcui.isNull(), "no_rxcui").when(odd, "suspicious_name")

@@ -11,6 +11,7 @@ from vigilake.functions import lexicons as X
 from vigilake.functions import names as N
 from vigilake.functions import values as V
 from vigilake.functions.text import NULL_TOKENS, null_tokens, strip
+from vigilake.operators import inference as I
 from vigilake.operators import linkage as L
 from vigilake.operators import relational as R
 from vigilake.operators import wide as W
@@ -481,3 +482,43 @@ def r62_normalized_codes(fact):
 def r63_join_aggregate(orders, lineitem):
     lines = lineitem.filter((F.col("l_shipdate") >= "1996-01-01") & (F.col("l_shipdate") < "1997-01-01")).select("l_orderkey", "l_quantity")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).groupBy("o_orderpriority", "o_orderstatus").agg(F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("customers"))
+
+
+@query(f"select coalesce(a.reaction_meddrapt, b.reaction_meddrapt) reaction_meddrapt, a.n n_a, b.n n_b from ({_BY('Male')}) a full join ({_BY('Female')}) b on a.reaction_meddrapt = b.reaction_meddrapt", FACT)
+def r64_outer_merge(fact):
+    by = lambda s, n: fact.filter(F.col("patient_sex") == s).groupBy("reaction_meddrapt").agg(F.count_distinct("safetyreportid").alias(n))
+    return by("Male", "n_a").join(by("Female", "n_b"), "reaction_meddrapt", "full")
+
+
+@query("""select medicinal_product, n from (select medicinal_product, count(*) n from adult_fact where rxcui is null and medicinal_product is not null group by 1
+  having medicinal_product not in (select medicinal_product from adult_fact where rxcui is not null and medicinal_product is not null)) order by n desc, 1 limit 20""", FACT)
+def r65_unmapped_by_frequency(fact):
+    mapped = fact.filter(F.col("rxcui").isNotNull()).select("medicinal_product").distinct()
+    left = fact.filter(F.col("medicinal_product").isNotNull()).join(mapped, "medicinal_product", "left_anti")
+    return R.top(left, [], "medicinal_product", 20).select("medicinal_product", "n")
+
+
+@query("select basename, arg_min(ingredients[1], (medicinal_product)) filter (where ingredients[1] is not null) ingredient, count(*) n from adult_drugs_enriched where basename is not null group by 1", LIST)
+def r66_first_ingredient(listed):
+    one = F.get("ingredients", F.lit(0))
+    kept = listed.filter(F.col("basename").isNotNull())
+    return kept.groupBy("basename").agg(F.min_by(one, F.when(one.isNotNull(), F.col("medicinal_product"))).alias("ingredient"), F.count(F.lit(1)).alias("n"))
+
+
+@query(None, LIST)
+def r67_ingredient_status(listed):
+    names = listed.filter(F.col("basename").isNotNull()).select("medicinal_product", F.array(F.col("basename"), F.concat("basename", F.lit("A")), F.lit("???")).alias("names"))
+    return L.ingredient_status(names, "names", listed.select(F.col("basename").alias("name"), "rxcui"), "medicinal_product")
+
+
+@query(None, DRUG)
+def r68_decompose_names(drug):
+    answers = I.infer(drug.withColumn("clean", N.clean_name(F.col("medicinal_product"))), "clean")
+    ingredient, salt = N.ingredients_and_salts(F.transform(F.col("ingredients"), lambda x: F.upper(x)))
+    return answers.withColumn("ingredient", ingredient).withColumn("salt", salt)
+
+
+@query("select event_type, strftime(ts, '%Y-%m') as month, count(*) n, sum(value) total, max(value) - min(value) spread from events where event_type <> 'click' group by 1, 2", "events")
+def r69_monthly(events):
+    kept = events.filter(F.col("event_type") != "click")
+    return kept.groupBy("event_type", F.date_format("ts", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), (F.max("value") - F.min("value")).alias("spread"))
