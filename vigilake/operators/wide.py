@@ -2,7 +2,7 @@
 
 Keys are matched to attributes and values are read into their types by column expressions, inside the scan stage. The
 cells then go through ``combineByKey``: an entity's combiner is a small register file, one slot per attribute seen,
-each slot a set of distinct typed values. Merging two registers is set union slot by slot, hence associative and
+each slot the distinct values in one notation. Merging two registers is set union slot by slot, hence associative and
 commutative, so duplicates disappear on the map side before anything is shuffled and one entity that owns a third of
 all rows sends one register per map task. Typed encoders write the registers out as full rows.
 
@@ -122,28 +122,33 @@ def _if_kept(row: Column, test: Callable[[Column], Column]) -> Column:
     return F.explode(F.filter(F.array(row), test)).alias("x")
 
 
-# The register file of an entity: slot -> set of canonical texts. Module level, so that they travel by name.
-def _open(cell: tuple[int, str]) -> dict[int, set[str]]:
-    return {cell[0]: {cell[1]}}
+# The register file of an entity: slot -> canonical text, or a set of them once there are two. Most slots hold one text,
+# and a plain one takes a fraction of a set's memory. Module level, so that the functions travel by name.
+Register = dict[int, str | set[str]]
 
 
-def _put(register: dict[int, set[str]], cell: tuple[int, str]) -> dict[int, set[str]]:
-    slot = register.get(cell[0])
-    if slot is None:
-        register[cell[0]] = {cell[1]}
-    else:
-        slot.add(cell[1])
+def _open(cell: tuple[int, str]) -> Register:
+    return {cell[0]: cell[1]}
+
+
+def _put(register: Register, cell: tuple[int, str]) -> Register:
+    slot, text = cell
+    held = register.get(slot)
+    if held is None:
+        register[slot] = text
+    elif held.__class__ is set:
+        held.add(text)
+    elif held != text:
+        register[slot] = {held, text}
     return register
 
 
-def _union(a: dict[int, set[str]], b: dict[int, set[str]]) -> dict[int, set[str]]:
+def _union(a: Register, b: Register) -> Register:
     if len(a) < len(b):
         a, b = b, a
-    for slot, values in b.items():
-        if slot in a:
-            a[slot] |= values
-        else:
-            a[slot] = values
+    for slot, more in b.items():
+        for text in more if more.__class__ is set else (more,):
+            _put(a, (slot, text))
     return a
 
 
@@ -165,7 +170,8 @@ def widen(df: DataFrame, attributes: tuple[Attribute, ...] = OPENFDA, entity: st
 
     def encode(item: tuple) -> tuple:
         (e, n), register = item
-        return (e, n, *(ENCODERS[kind](register[i]) if i in register else None for i, kind in encoders))
+        texts = {i: x if x.__class__ is set else (x,) for i, x in register.items()}
+        return (e, n, *(ENCODERS[kind](texts[i]) if i in texts else None for i, kind in encoders))
 
     source = cells(df, attributes, entity, entry, key, value)
     # An RDD's stages show no query plan: the name says what they read.
