@@ -1,7 +1,8 @@
 """Relational building blocks: first-of-group with a total order, duplicate audits, lists, tables, top lists, hierarchies.
 
-Every "first" takes an order that decides ties, so results don't depend on partitioning. Where one row of a group is
-wanted, ``min_by`` over a struct is used rather than a window: it combines before the shuffle and needs no sort.
+Every "first" takes an order that decides ties, so results don't depend on partitioning. A first row is a rank of one:
+Spark limits each group to it before the shuffle too, so a hot key sends one row per task. First values of single
+columns are ``min_by`` aggregates, which combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -18,11 +19,9 @@ from vigilake.runtime import cut
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One whole row per key, the first in ``order``; the other columns decide what is left of ties."""
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest)
-    sortable = [c for c in rest if not dict(df.dtypes)[c].startswith("map")]
-    best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*order, *sortable)).alias("_row"))
-    return best.select(*keys, *(F.col("_row")[c].alias(c) for c in rest)).select(df.columns)
+    rest = [c for c, kind in df.dtypes if c not in keys and not kind.startswith("map")]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *rest))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def first_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> DataFrame:
