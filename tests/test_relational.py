@@ -51,3 +51,25 @@ def test_quarantine_loses_no_row(spark):
     df = spark.createDataFrame([("A", "1"), ("A", None), ("DRUG UNKNOWN", "1"), ("DRUG UNKNOWN", None)], "medicinal_product string, rxcui string")
     main, out = L.split_quarantine(df)
     assert main.count() == 1 and {r.quarantine_reason for r in out.collect()} == {"no_rxcui", "suspicious_name", "no_rxcui_and_suspicious"}
+
+
+def test_nearest_blocks_only_single_words_by_their_first_letter(spark):
+    from difflib import SequenceMatcher
+    from random import Random
+
+    table = [("brizcarifam", "1"), ("sulconazole", "2"), ("", "3")]
+    ask = [("GENERIC BRIZCARIFAM",), ("FULCONAZOLE",), ("x SULCONAZOLE",), ("SULCONASOLE",), ("",)]
+    sets = lambda a, b: (spark.createDataFrame(a, "n string"), spark.createDataFrame(b, "name string, rxcui string"))
+    names, listed = sets(ask, table)
+    assert {r.n: r._hit for r in L.nearest(names, "n", "n", listed).collect()} == {"GENERIC BRIZCARIFAM": "1", "FULCONAZOLE": None, "x SULCONAZOLE": "2", "SULCONASOLE": "2", "": None}
+
+    any_ = Random(5)
+    word = lambda: "".join(any_.choices("abcdeéß1", k=any_.randint(1, 6)))
+    text = lambda: " ".join(word() for _ in range(any_.randint(1, 3)))
+    ask, table = sorted({text() for _ in range(150)}), {t: str(i) for i, t in enumerate(sorted({text() for _ in range(150)}))}
+    best = {}
+    for a in ask:
+        near = [(-r, b) for b in table if (len(a.split()) > 1 or a[0] == b[0]) and (r := SequenceMatcher(None, a, b).ratio()) >= 0.7]
+        best[a] = table[min(near)[1]] if near else None
+    names, listed = sets([(a,) for a in ask], list(table.items()))
+    assert {r.n: r._hit for r in L.nearest(names, "n", "n", listed).collect()} == best and 10 < sum(h is not None for h in best.values())

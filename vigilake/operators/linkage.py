@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions import lexicons as X
-from vigilake.functions.names import any_pattern, similar, without_noise
+from vigilake.functions.names import any_pattern, similar, without_noise, words
 
 
 @dataclass(frozen=True)
@@ -41,14 +41,32 @@ def by_list(df: DataFrame, names: str, table: DataFrame, key: str) -> DataFrame:
     return df.join(hits, key, "left")
 
 
+def _letters(c: Column) -> Column:
+    """Two words of bits: one bit, by hash, for each letter of a text and its how-manieth."""
+    chars = F.split(c, "")
+    numbered = F.transform(chars, lambda x, i: F.pmod(F.xxhash64(x, F.size(F.filter(F.slice(chars, 1, i + 1), lambda y: y == x))), F.lit(128)))
+    bits = lambda k: F.aggregate(F.filter(numbered, lambda n: F.floor(n / 64) == k), F.lit(0).cast("bigint"), lambda m, n: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (n % 64).cast("int"))))
+    return F.array(bits(0), bits(1))
+
+
 def nearest(df: DataFrame, key: str, name: str, table: DataFrame, least: float = 0.7, letters: int = 1) -> DataFrame:
-    """Adds ``_hit``: the identifier of the most similar name. Candidates share their first ``letters`` letters and are
-    no more than 30 % longer or shorter, which the ratio asked for implies; the ratio runs on candidates only."""
-    block = lambda c: F.lower(F.left(c, F.lit(letters)))
-    left = df.filter(F.col(name) != "").select(key, F.col(name).alias("_a")).withColumn("_b", block(F.col("_a")))
-    right = unique_names(table).withColumn("_b", block(F.col("_name")))
-    near = left.join(right, "_b").filter(2 * F.least(F.length("_a"), F.length("_name")) >= least * (F.length("_a") + F.length("_name")))
-    scored = near.withColumn("_r", similar(F.col("_a"), F.col("_name"))).filter(F.col("_r") >= least)
+    """Adds ``_hit``: the identifier of the most similar name. Candidates of a name of one word share its first
+    ``letters`` letters; those of a longer name may begin with any. Only pairs that can't reach the ratio are left out
+    before it runs: it implies that the lengths differ by no more than 30 % of their mean, and how many letters are
+    common to both, counted by bits, which never count a common letter as missing."""
+    low = F.lower(F.trim(F.col(name)))
+    left = df.filter(low != "").select(key, low.alias("_a")).withColumns({"_ma": _letters(F.col("_a")), "_la": F.length("_a")})
+    right = unique_names(table).filter(F.col("_name") != "").withColumns({"_mb": _letters(F.col("_name")), "_lb": F.length("_name")})
+    one_word = F.size(words(F.col("_a"))) == 1
+    first = lambda c: F.left(c, F.lit(letters))
+    near = left.filter(one_word).withColumn("_b", first(F.col("_a"))).join(right.withColumn("_b", first(F.col("_name"))), "_b").drop("_b")
+    least_length, most_length = (F.lit(x) * F.col("_la") for x in (least / (2 - least), (2 - least) / least))
+    lengths = F.sequence(F.greatest(F.lit(1), F.floor(least_length).cast("int")), F.ceil(most_length).cast("int"))
+    near = near.unionByName(left.filter(~one_word).withColumn("_lb", F.explode(lengths)).join(right, "_lb").select(near.columns))
+    common = least * (F.col("_la") + F.col("_lb")) / 2 - 1e-6  # letters that the ratio asks for
+    lacking = lambda m, n: sum((F.bit_count(F.col(m)[k].bitwiseAND(F.bitwise_not(F.col(n)[k]))) for k in (0, 1)), F.lit(0))
+    near = near.filter((F.least("_la", "_lb") >= common) & (F.col("_la") - lacking("_ma", "_mb") >= common) & (F.col("_lb") - lacking("_mb", "_ma") >= common))
+    scored = near.select(key, "_hit", "_name", similar(F.col("_a"), F.col("_name")).alias("_r")).filter(F.col("_r") >= least)
     hits = scored.groupBy(key).agg(F.min_by("_hit", F.struct(-F.col("_r"), "_name")).alias("_hit"))
     return df.join(hits, key, "left")
 
