@@ -51,3 +51,12 @@ def test_values(spark):
     assert each(spark, V.distinct_list, [["b", None, "a", "b"], [], None], "array<string>") == [["a", "b"], None, None]
     assert each(spark, V.worst_status, [["exact"], ["exact", "not_found"], ["approx", "exact"], []], "array<string>") == ["exact", "partial", "approx", None]
     assert each(spark, V.url_quoted, ["a b/c"]) == ["a%20b%2Fc"]
+
+
+def test_base_names_of_all_products(spark, tmp_path):
+    from vigilake.plans.reference import QUERIES
+
+    names = {"TAB (IBUPROFEN)": "IBUPROFEN", "ASPIRIN, 10 MG (FOO)": "ASPIRIN", "TAB (HCL) (FOO)": "FOO", "CAFÉINE?ZINC": "CAF INE ZINC", "ＡＢＣ": "", "FOO\tBAR": "FOO BAR", "(TAB)": "TAB", "PLAIN": "PLAIN", "": ""}
+    spark.createDataFrame([(n,) for n in (*names, "PLAIN", None)], "medicinal_product string").write.parquet(f"{tmp_path}/drugcharacteristics_extended.parquet")
+    out = [tuple(r) for r in QUERIES["r70_base_name_all"](spark, str(tmp_path)).collect()]
+    assert len(out) == len(names) and dict(out) == names

@@ -218,6 +218,11 @@ def r18_base_name(drug):
     return plain.withColumn("basename", N.base_name(F.col("medicinal_product")))
 
 
+@query(None, DRUG)
+def r70_base_name_all(drug):
+    return drug.select("medicinal_product").filter(F.col("medicinal_product").isNotNull()).distinct().withColumn("basename", N.base_name(F.col("medicinal_product")))
+
+
 @query(f"""with p as (select distinct p_type from part), a as (select p_type, list_filter(string_split(upper(p_type), ' '), lambda w: w not in ('STANDARD', 'SMALL', 'PLATED') and w <> '') w from p)
 select p_type, array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: list_position(w, w[i]) = i), lambda i: w[i]), ' ') bare from a""", "part")
 def r19_noise_words(part):
