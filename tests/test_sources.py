@@ -1,11 +1,14 @@
 import gzip
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from vigilake.functions import lexicons as X
 from vigilake.operators.shred import REACTION, children, shred
 from vigilake.plans import runner
+from vigilake.plans import stages as P
 from vigilake.sources import readers, writers
 from vigilake.streaming.landing import land, landed
 
@@ -96,3 +99,32 @@ def test_stages_run_and_resume(spark, small, tmp_path):
     assert all(n is None for t in runner.run(c).values() for n in t.values())
     with pytest.raises(ValueError):
         runner.run(c, "nothing")
+
+
+def test_events_of_both_cohorts_reach_the_fact(spark, tmp_path):
+    table = lambda rows, kind, name: spark.createDataFrame(rows, kind).withColumn("load_ts", F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{tmp_path}/in/{name}.parquet")
+    table([(i, "20200101", "20200101", "20200101") for i in ("1", "2", "3", "4")], "safetyreportid string, mostrecent_receive_date string, receive_date string, lastupdate_date string", "report")
+    table([("1", 40.0, "Male"), ("2", 5.0, None), ("3", 50.0, "Male"), ("4", 50.0, "Male")], "safetyreportid string, patient_custom_master_age double, patient_sex string", "patient")
+    lines = [("1", "FOO TABLET", "A"), ("2", "FOO TABLET", "A"), ("3", "UNKNOWN ZZZ", None), ("4", "FOO TABLET", "A")]
+    drug = "safetyreportid string, entry bigint, medicinal_product string, drug_characterization string, drug_administration string, drug_indication string, drug_dosage_form string, drug_authorization_number string, action_drug string, active_substance_name string"
+    table([(i, 1, p, "Suspect", None, None, None, None, None, a) for i, p, a in lines], drug, "drugcharacteristics_extended")
+    table([(i, "drug-induced LIVER", "Fatal") for i in ("1", "2", "3", "4")], "safetyreportid string, reaction_meddrapt string, reaction_outcome string", "reactions")
+    table([("Drug-induced liver", 7, "c", ["s"], ["t"])], "meddra_concept_name string, meddra_concept_id bigint, meddra_concept_code string, meddra_soc_names array<string>, meddra_soc_codes array<string>", "pt_soc_dictionary")
+    table([("foo", "11", ["Bar"])], "basename string, rxcui string, rxnorm_ingredients array<string>", "adult_drugs_enriched")
+    about = ", ".join(f"{c} {'string' if c.startswith('reporter') else 'int'}" for c in P.ABOUT)
+    rest = "receive_date date, drug_characterization string, patient_sex string, reaction_outcome string, ingredient array<string>, faers_ingredients array<string>, mapping_method string, meddra_concept_id bigint, meddra_concept_code string, meddra_soc_names array<string>, meddra_soc_codes array<string>, medicinal_product string, reaction_meddrapt string, rxcui string"
+    ready = [date(2020, 1, 1), "Suspect", None, None, ["bar"], [], "basename", 7, "c", None, None]
+    row = lambda i, who, *key: (i, 1, *[0] * 6, "US", None, who, *ready, *(key or [None] * 3))
+    landed = [row("1", "Physician"), row("4", X.EXCLUDED_REPORTERS[0]), row("1", "Physician", "FOO TABLET", "DRUG-INDUCED LIVER", "11"), row("9", "Physician", "FOO TABLET", "Drug-Induced Liver", "11")]
+    table(landed, f"safetyreportid string, {about}, {rest}", "adult_fact")
+    c = runner.Context(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    for stage in ("cohorts", "products", "linkage", "finalise", "package"):
+        if stage == "cohorts":
+            for name, f, source in (("er_report", P.reports, "report"), ("er_patient", P.patients, "patient"), ("er_drug", P.drug_lines, "drugcharacteristics_extended"), ("er_reaction", P.reaction_lines, "reactions")):
+                f(spark.read.parquet(f"{tmp_path}/in/{source}.parquet")).write.parquet(f"{tmp_path}/out/{name}")
+        runner.run(c, stage)
+    fact = {r.safetyreportid: r for r in c.table("fact").collect()}
+    assert c.table("fact").count() == 3 and set(fact) == {"1", "2", "9"} and fact["1"].cohort != fact["2"].cohort and fact["2"].patient_sex == "Unknown"
+    assert {(r.rxcui, r.meddra_concept_id, tuple(r.ingredient), tuple(r.faers_ingredients), r.mapping_method) for r in fact.values()} == {("11", 7, ("bar",), (), "basename")}
+    assert (fact["1"].serious, fact["2"].serious) == (1, 0)
+    assert [r.medicinal_product for r in c.table("quarantined_products").collect()] == ["UNKNOWN ZZZ"] and c.table("dim_reaction").count() == 3

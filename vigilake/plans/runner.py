@@ -12,6 +12,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigilake.operators.linkage import split_quarantine
 from vigilake.operators.wide import widen
 from vigilake.plans import stages as P
 from vigilake.runtime import read
@@ -65,12 +66,21 @@ def products(c: Context) -> dict[str, DataFrame]:
     return {"products": P.products(read(c.spark, c.source, "drugcharacteristics_extended"))}
 
 
+def linkage(c: Context) -> dict[str, DataFrame]:
+    main, out = split_quarantine(P.linked(c.table("products"), read(c.spark, c.source, "adult_drugs_enriched")))
+    return {"linked_products": main, "quarantined_products": out}
+
+
+def finalise(c: Context) -> dict[str, DataFrame]:
+    return {"joined_fact": P.joined_facts(c.table("events"), c.table("linked_products"), read(c.spark, c.source, "pt_soc_dictionary"), read(c.spark, c.source, "adult_fact"))}
+
+
 def package(c: Context) -> dict[str, DataFrame]:
-    fact = P.facts(read(c.spark, c.source, "adult_fact"))
+    fact = P.with_landed(P.facts(c.table("joined_fact")), P.facts(read(c.spark, c.source, "adult_fact")))
     return {"fact": fact, "dim_drug": P.drug_dimension(fact), "dim_reaction": P.reaction_dimension(fact), "dim_standard_reaction": P.reaction_dimension(fact, "meddra_concept_id")}
 
 
-STAGES: dict[str, Stage] = {f.__name__: f for f in (entities, mapping, cohorts, reactions, products, package)}
+STAGES: dict[str, Stage] = {f.__name__: f for f in (entities, mapping, cohorts, reactions, products, linkage, finalise, package)}
 
 
 def run_stage(c: Context, name: str) -> dict[str, int | None]:

@@ -11,12 +11,14 @@ from vigilake.functions import lexicons as X
 from vigilake.functions.names import base_name, clean_name, ingredients_and_salts, substances, title_case
 from vigilake.functions.text import NULL_TOKENS, strip
 from vigilake.functions.values import age_band, any_date, cohort, distinct_list, serious
+from vigilake.operators import linkage as L
 from vigilake.operators import relational as R
 
 WINDOW = (date(2004, 1, 1), date(2025, 12, 31))
 DATES = ("mostrecent_receive_date", "receive_date", "lastupdate_date")
 PROFILE_TEXTS = ("medicinal_product", "drug_administration", "drug_dosage_form", "active_substance_name", "drug_authorization_number")
 PROFILE_LISTS = ("generic_name", "brand_name", "substance_name", "application_number")
+ABOUT = ("serious", "congenital_anomali", "death", "disabling", "hospitalization", "life_threatening", "other", "reporter_country", "reporter_company", "reporter_qualification")
 FACT_KEYS = ("safetyreportid", "medicinal_product", "reaction_meddrapt")
 
 
@@ -99,6 +101,36 @@ def decomposed(names: DataFrame) -> DataFrame:
     return names.withColumn("ingredients", ingredient).withColumn("salts", salt)
 
 
+def linked(products_: DataFrame, listed: DataFrame) -> DataFrame:
+    """Products with the ingredients of their substances and, by base name, the identifier the cascade over the listed
+    names (basename, rxcui, rxnorm_ingredients) finds; ``ingredient`` holds the listed ingredients of that identifier."""
+    parts = decomposed(products_.withColumn("active_substance_name", F.array_join("active_substance_name", ";")))
+    parts = products_.join(parts.select("medicinal_product", "ingredients"), "medicinal_product")
+    # An empty base name is no name to look up.
+    names = parts.filter(F.col("basename") != "").groupBy("basename").agg(F.min_by("ingredients", F.when(F.col("ingredients").isNotNull(), F.col("medicinal_product"))).alias("ingredients"))
+    table = listed.select(F.col("basename").alias("name"), "rxcui")
+    hits = L.cascade(names, table, approximate=table).drop("ingredients")
+    related = listed.select("rxcui", F.lit("IN").alias("tty"), F.explode("rxnorm_ingredients").alias("name"))
+    out = L.related_ingredients(parts.join(hits, "basename", "left"), related)
+    none = F.array().cast("array<string>")
+    out = out.withColumn("ingredient", F.coalesce("rxnorm_ingredients", none)).withColumn("faers_ingredients", F.coalesce("ingredients", none)).drop("rxnorm_ingredients", "ingredients")
+    counts = {"ingredient_count": F.size("ingredient"), "faers_ingredient_count": F.size("faers_ingredients"), "is_combination_product": (F.size("ingredient") > 1) | (F.size("faers_ingredients") > 1)}
+    return out.withColumns(counts).withColumnRenamed("lookup_hit", "mapping_method")
+
+
+def joined_facts(events_: DataFrame, products_: DataFrame, dictionary: DataFrame, about: DataFrame) -> DataFrame:
+    """Events of all cohorts x linked products x dictionary, the term in title case. ``about``: rows with what the report
+    table lacks, reporter and seriousness. A report without any keeps nulls there and a reporter of its own word: that
+    none was landed is no reason to leave it out, as an unknown reporter is."""
+    drug = products_.select("medicinal_product", "rxcui", "mapping_method", "ingredient", "faers_ingredients", "ingredient_count", "faers_ingredient_count", "is_combination_product")
+    term = title_case(strip(F.col("reaction_meddrapt")))
+    names = dictionary.filter(F.col("meddra_concept_id").isNotNull()).withColumn("reaction_meddrapt", title_case(F.col("meddra_concept_name"))).select("reaction_meddrapt", "meddra_concept_id", "meddra_concept_code", "meddra_soc_codes", "meddra_soc_names")
+    names = R.first_rows(names, ["reaction_meddrapt"], [F.col("meddra_concept_id")])
+    report = R.first_rows(about.select("safetyreportid", *ABOUT, "load_ts"), ["safetyreportid"], [F.col("load_ts")]).withColumn("_known", F.lit(True))
+    rows = events_.withColumn("reaction_meddrapt", term).join(drug, "medicinal_product").join(names, "reaction_meddrapt").join(report, "safetyreportid", "left")
+    return rows.withColumn("reporter_qualification", F.when(F.col("_known"), F.col("reporter_qualification")).otherwise("Not landed")).drop("_known")
+
+
 def facts(fact: DataFrame, window: tuple[date, date] = WINDOW) -> DataFrame:
     """One row per report, product and reaction: suspected before interacting before concomitant; flags and seriousness
     recoded; reporters that don't count, rows without product, id or ingredient, and dates out of the window left out."""
@@ -117,6 +149,12 @@ def facts(fact: DataFrame, window: tuple[date, date] = WINDOW) -> DataFrame:
     return first.fillna("Unknown", subset=["patient_sex", "reporter_country", "reporter_company", "reaction_outcome"])
 
 
+def with_landed(joined: DataFrame, landed: DataFrame) -> DataFrame:
+    """The facts that were landed ready-made, all adult, and the joined ones that aren't among them, letter case of terms aside."""
+    known = landed.select("safetyreportid", "medicinal_product", title_case(strip(F.col("reaction_meddrapt"))).alias("reaction_meddrapt")).distinct()
+    return R.union_all([landed.withColumn("cohort", F.lit("adult")), joined.join(known, list(FACT_KEYS), "left_anti")])
+
+
 def drug_dimension(fact: DataFrame) -> DataFrame:
     kept = fact.filter(F.col("rxcui").isNotNull()).select("rxcui", "ingredient", "medicinal_product", "mapping_method")
     return R.first_rows(kept, ["rxcui"], [F.col("medicinal_product"), F.col("mapping_method")])
