@@ -87,3 +87,12 @@ def test_extension_counts_edits():
 
 def test_query(spark, small):
     assert Q.QUERIES["p8_found"](spark, small).count() > 0
+
+
+def test_long_tags_and_comments_are_markup():
+    link = '<a href="https://example.org/' + "part/" * 30 + '" class=\'x y\' download title="a > b">'
+    assert L.words(f"one {link}two</a> three <img src=x{'y' * 100} hidden/>four") == ["one", "two", "three", "four"]
+    assert L.words("one<!-- two\n<b> " + "x " * 99 + "--> three <!-- four") == ["one", "three", "four"]
+    prose = "if a <b then " + "so it goes on and on " * 9 + "until c> d"
+    assert len(L.words(prose)) == len(prose.replace("<", " ").replace(">", " ").split())
+    assert len(L.words('<a b="' * 20_000)) == 40_000 and len(L.words("<!-- x " * 20_000 + "y")) == 20_001

@@ -41,7 +41,13 @@ BLOCK_ITEMS, BLOCK_CHARS = 5_000, 5_000_000  # of one broadcast index
 KEPT_WORDS = 500_000  # words kept in a worker before it starts anew
 
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
-_TAG = re.compile(r"<[/!|?]?[A-Za-z][^<>]{0,80}>")  # a sign of less before a blank or number is none
+# A sign of less before a blank or number is no tag. Beyond 80 characters a tag must read as one, by its attributes: signs
+# of less and more far apart in prose are none.
+_TAG = re.compile(
+    r"""<[/!|?]?[A-Za-z][^<>]{0,80}>|<[A-Za-z][\w:.-]*(?:\s+(?:[\w:@.-]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>]+)"""
+    r"""|(?:allowfullscreen|async|autoplay|checked|controls|defer|disabled|download|hidden|loop|multiple|muted|open|readonly|required|selected)(?=[\s/>])))*\s*/?>"""
+)
+_COMMENT = re.compile(r"<!--.*?-->", re.DOTALL)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -49,6 +55,8 @@ def words(text: str | None) -> list[str]:
     if not text:
         return []
     if "<" in text:
+        if (end := text.rfind("-->") + 3) > 2:  # what begins after the last end is no comment, nor searched
+            text = _COMMENT.sub(" ", text[:end]) + text[end:]
         text = _TAG.sub(" ", text)
     if "&" in text:
         text = html.unescape(text)
