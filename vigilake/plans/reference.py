@@ -449,7 +449,7 @@ def r56_output_summary(fact):
     return fact.agg(F.count(F.lit(1)).alias("n_rows"), V.n_unique(F.col("rxcui")).alias("n_unique_rxcui"), V.n_unique(F.col("reporter_company")).alias("n_unique_company"))
 
 
-_texts("part", "p_name", "quoted", "replace(p_name, ' ', '%20')", V.url_quoted, "r57_url_quote", "p_name rlike '^[A-Za-z0-9 ]+$'")
+_texts("part", "p_name", "quoted", "replace(p_name, ' ', '%20')", V.url_quoted, "r57_url_quote")
 SQL["r57_url_quote"] = "select p_name, replace(p_name, ' ', '%20') quoted from (select distinct p_name from part where regexp_full_match(p_name, '[A-Za-z0-9 ]+'))"
 
 
@@ -473,7 +473,7 @@ def r60_related_ingredients(listed):
 
 @query("select medicinal_product, active_substance_name, case when active_substance_name is null then null else list_filter(list_transform(string_split(active_substance_name, ';'), lambda x: trim(x)), lambda x: x <> '' and lower(x) not in ('none', 'null')) end parts from (select distinct medicinal_product, active_substance_name from drugcharacteristics_extended where active_substance_name is null or not contains(active_substance_name, '\\'))", DRUG)
 def r61_substance_parts(drug):
-    out = drug.select("medicinal_product", "active_substance_name").distinct().filter(F.col("active_substance_name").isNull() | ~F.col("active_substance_name").contains("\\"))
+    out = drug.select("medicinal_product", "active_substance_name").distinct()
     return out.withColumn("parts", N.substances(F.col("active_substance_name")))
 
 
