@@ -1,12 +1,12 @@
 """Freely typed values mapped to the entries of a reference list, with what is unmatched reported.
 
 Every list name is a set of component words. Texts are folded (compatibility forms, letter case, accents, invisible
-characters, digits standing for letters). A multi-pattern automaton over all folded names and components finds mentions
+characters, digits standing for letters). A multi-pattern automaton over all folded components, not whole names, finds mentions
 in the text written without gaps; mentions must begin and end where words do, the longest non-overlapping ones win.
 Words that no mention covers go to token-set similarity: single words and up to three neighbouring ones, joined, are
 compared with all components, by spelling and by sound, through an index of deletions that finds every component within
 the edit distance allowed (one edit from four letters on, two from six). Text without gaps is compared with whole names
-too, in any order of their words. The components found must be exactly those of an entry: a combination needs all of
+of two or three components too, in any order of their words; beyond 40 letters no edit is allowed. The components found must be exactly those of an entry: a combination needs all of
 its components, and a component named beside an unknown partner isn't taken for the single product.
 
 Distinct values are matched, then joined back to their rows. The list is collected in blocks bounded in rows; each
