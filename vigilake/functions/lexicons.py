@@ -6,6 +6,7 @@ DOSAGE_FORMS = (
     "TABLET", "TAB", "TABS", "CAPSULE", "CAP", "CAPS", "CREAM", "GEL", "SOLUTION", "SUSPENSION", "SYRUP", "SPRAY", "POWDER", "INJ", "SOL", "SOLN", "AMP", "SUSP", "OINT", "OINTMENT",
     "LOTION", "PATCH", "DROP", "DROPS", "LOZENGE", "ELIXIR", "EMULSION", "GRANULE", "GRANULES", "VIAL", "AMPOULE",
 )
+FORMULATIONS = ("GASTRO", "RESISTANT", "ENTERIC", "LIQUID", "LYOPHILIZED", "LYOPHILISED", "RECONSTITUTED")
 NAME_NOISE = ("FOR", "WITH", "AND", "THE", "USP", "NF", "BP", "EP", "PRN", "NTE", "VIA", "PER", "USE", "NOT", "NEB", "NEBS")
 COMPANIES = ("PFIZER", "NOVARTIS", "ROCHE", "SANOFI", "MERCK", "BAYER", "ASTRAZENECA", "GSK", "MYLAN", "TEVA", "SANDOZ", "BRISTOL", "SQUIBB", "ABBVIE")
 NON_INGREDIENTS = (
