@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilake.functions import lexicons as X
 from vigilake.functions.text import NULL_TOKENS, strip
 from vigilake.llm import canonical as C
 from vigilake.llm import encode as E
@@ -15,10 +16,6 @@ from vigilake.runtime import read
 
 LIMIT, OVERLAP = 512, 64
 
-# Words beside a product's name that change nothing about which drug is meant.
-ADDITIONS = ("tablets", "capsules", "injection", "cream", "syrup", "drops", "liquid", "oral", "generic", "blinded", "unknown strength", "study drug", "placebo")
-
-
 def _baskets(spark: SparkSession, d: str) -> DataFrame:
     fact = read(spark, d, "adult_fact")
     drug, reaction = F.concat(F.lit("D:"), strip(F.col("rxcui"))), F.concat(F.lit("R:"), F.col("meddra_concept_id").cast("string"))
@@ -34,23 +31,31 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return P.pairs(_baskets(spark, d), min_count=5, min_share=(3, 1000), min_lift=3).select("item_a", "item_b")
 
 
-def _listed(spark: SparkSession, d: str, column: str) -> list[str]:
-    """The distinct texts of a column of the product list, which is bounded in size."""
-    table = read(spark, d, "adult_drugs_enriched")
-    values = F.explode(column) if dict(table.dtypes)[column].startswith("array") else F.col(column)
-    return sorted(r[0] for r in table.select(values.alias("x")).distinct().collect() if r[0])
+# What may stand beside a product's name without changing which drug is meant: salts, forms, routes and qualifiers of the
+# project's word lists, beside those of the product list's own columns.
+ADDITIONS = (*X.SALTS, *X.DOSAGE_FORMS, *X.FORMULATIONS, *X.ROUTES, *X.BRACKET_QUALIFIERS, *X.NAME_NOISE)
 
 
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    products = read(spark, d, "adult_drugs_enriched")
+def _additions(products: DataFrame) -> DataFrame:
+    """(phrase): the additions of the word lists and of the list's columns."""
+    own = products.select(F.explode(F.concat(F.array("dosage_form", "qualifier"), F.coalesce("salt", F.array().cast("array<string>")))).alias("phrase"))
+    return own.unionByName(products.sparkSession.createDataFrame([(w,) for w in ADDITIONS], "phrase string")).filter(F.col("phrase").isNotNull()).distinct()
+
+
+def _products(d: DataFrame) -> DataFrame:
+    """Entries of the product list. A brand's components are its own name; cleaned names are aliases."""
     several = (F.size("ingredients") > 1) & (F.coalesce("rxcui_tty", F.lit("")) != "BN")
     components = F.when(several, F.col("ingredients")).otherwise(F.array(F.coalesce("basename", "medicinal_product")))
-    products = products.select(F.col("rxcui").alias("target"), F.col("medicinal_product").alias("name"), components.alias("components"))
+    aliases = F.array_distinct(F.array_compact(F.array("medicinal_product_norm", "medicinal_product_llm_clean", "basename")))
+    return d.select(F.col("rxcui").alias("target"), F.col("medicinal_product").alias("name"), aliases.alias("aliases"), components.alias("components"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    listed = read(spark, d, "adult_drugs_enriched")
     terms = read(spark, d, "pt_soc_dictionary").select(F.col("meddra_concept_id").alias("target"), F.col("meddra_concept_name").alias("name"))
-    terms = terms.withColumn("components", F.filter(F.split("name", r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    ignorable = [w for c in ("dosage_form", "qualifier", "salt") for w in _listed(spark, d, c)]
-    drugs = C.match_values(read(spark, d, "drugcharacteristics_extended"), "drug", "medicinal_product", "safetyreportid", products, NULL_TOKENS, [*ignorable, *ADDITIONS])
-    reactions = C.match_values(read(spark, d, "reactions"), "reaction", "reaction_meddrapt", "safetyreportid", terms, NULL_TOKENS, separators=False)
+    terms = terms.withColumns({"aliases": F.array().cast("array<string>"), "components": F.filter(F.split("name", r"[^\p{L}\p{N}]+"), lambda w: w != "")})
+    drugs = C.match_values(read(spark, d, "drugcharacteristics_extended"), "drug", "medicinal_product", "safetyreportid", _products(listed), NULL_TOKENS, _additions(listed))
+    reactions = C.match_values(read(spark, d, "reactions"), "reaction", "reaction_meddrapt", "safetyreportid", terms, NULL_TOKENS, strict=False)
     return drugs.unionByName(reactions)
 
 
@@ -60,6 +65,20 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("field", "raw_value").agg(F.count(F.lit(1)).alias("n_reports"))
 
 
+def p5_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """Precision and recall against rows that name the substance themselves: of typed products whose row names substances
+    that are exactly one entry's ingredients, how many are matched, and how many to an entry of these ingredients."""
+    listed = read(spark, d, "adult_drugs_enriched").select("rxcui", F.array_sort(F.transform("ingredients", F.upper)).alias("i")).filter(F.size("i") > 0).distinct()
+    named = F.array_sort(F.transform(F.split("active_substance_name", r"\\|;"), lambda x: F.upper(F.trim(x))))
+    rows = read(spark, d, "drugcharacteristics_extended").select("safetyreportid", F.col("medicinal_product").alias("raw_value"), named.alias("i")).distinct()
+    labelled = rows.join(listed.select("i").distinct(), "i")
+    found = p5_found(spark, d).filter(F.col("field") == "drug")
+    cases = labelled.join(found, "raw_value").select("raw_value", "i", "target_id").distinct()
+    right = listed.withColumnRenamed("rxcui", "target_id").withColumn("right", F.lit(1))
+    out = cases.join(right, ["i", "target_id"], "left")
+    return out.agg(F.count(F.lit(1)).alias("n_labelled"), F.count_if(F.col("target_id") != "UNMATCHED").alias("n_matched"), F.count("right").alias("n_agree"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return E.encode(read(spark, d, "documents"))
 
@@ -99,6 +118,7 @@ QUERIES = {
     "p4_pairs": p4_pairs,
     "p5_found": p5_found,
     "p5_unmatched": p5_unmatched,
+    "p5_agreement": p5_agreement,
     "p7_ids": p7_ids,
     "p7_roundtrip": p7_roundtrip,
     "p8_found": p8_found,
