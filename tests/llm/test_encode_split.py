@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from oracle import compare
 from vigilake.llm import encode as E
 from vigilake.llm import queries as Q
 from vigilake.llm import split as S
@@ -84,6 +85,33 @@ def test_cuts_stand_at_the_strongest_boundary():
     assert text[: S.pieces(e, text, ids, 70, 8, 0.9)[0][1]].endswith(".")
 
 
+@pytest.mark.parametrize(
+    "sentence",
+    ["съешь же ещё этих мягких французских булок да выпей чаю", "ο κόσμος γράφει ελληνικά κείμενα χωρίς τέλος", "café éblouï santé été déjà vu là", "यह हिन्दी में लिखा हुआ एक लंबा वाक्य है", "naïve “café” – résumé…", "plain english words here"],
+)
+def test_no_cut_within_a_word_of_any_script(library, sentence):
+    e = E.Encoder(E.BYTE_BPE)
+    text = " ".join([sentence] * 40)
+    ids, _ = e.encode([text])
+    for a, b, n, _ in S.pieces(e, text, ids, 96, 32, 0.5):  # a blank is within reach
+        assert n == len(library.encode(text[a:b], add_special_tokens=False).ids) <= 96
+        assert b == len(text) or text[b - 1].isspace() or text[b].isspace(), text[b - 5 : b + 5]
+        assert a == 0 or text[a - 1].isspace() or text[a].isspace(), text[a - 5 : a + 5]
+
+
+def test_sentence_marks_of_other_scripts_and_closing_quotes():
+    e = E.Encoder(E.BYTE_BPE)
+    for head, tail in (("日本語" * 20 + "です。」", "次の文" * 30), ("दिन " * 30 + "है।", " शाम" * 40), ("word " * 30 + 'said "stop."', " next" * 60), ("مرحبا " * 30 + "كيف؟", " بخير" * 60), ("你好。", "再见吧" * 30)):
+        text = head + tail
+        ids, _ = e.encode([text])
+        most = len(e.encode([head])[0]) + 6
+        assert S.pieces(e, text, ids, most, 0, 0.1)[0][1] == len(head), text[: S.pieces(e, text, ids, most, 0, 0.1)[0][1]][-12:]
+
+
+def test_coverage_query_same_as_sql(spark, small):
+    compare(spark, small, Q.QUERIES, Q.SQL, "p9_coverage")
+
+
 def test_split_rows(spark):
     df = spark.createDataFrame([(1, "word " * 600, 0), (1, "word " * 600, 0), (2, "short", 0), (3, None, 0), (None, "x " * 900, 0)], "doc_id bigint, text string, piece int")
     out = S.split(df).collect()

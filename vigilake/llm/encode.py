@@ -18,12 +18,14 @@ vocabulary gives U+FFFD. Rows are kept as they are, repeats and null ids include
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,10 +142,17 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def ship(spark: SparkSession, path: str) -> str:
+    """Sends the tokenizer's file along with the job, so that only the driver needs it at its path."""
+    spark.sparkContext.addFile(path)
+    return path
+
+
 def encoder(path: str) -> Encoder:
-    """The worker's encoder; kept from task to task."""
+    """The worker's encoder, from the file sent along if there is one; kept from task to task."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        sent = SparkFiles.get(os.path.basename(path))
+        _ENCODERS[path] = Encoder(sent if os.path.exists(sent) else path)
     return _ENCODERS[path]
 
 
@@ -158,7 +167,7 @@ def char_positions(data: bytes) -> np.ndarray | None:
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = BYTE_BPE, offsets: bool = False) -> DataFrame:
     """(key, ids) of each row, with ``offsets`` also ``ends``: the character position where each token ends."""
     fields = [df.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))] + [T.StructField("ends", T.ArrayType(T.IntegerType()))] * offsets
-    schema = T.StructType(fields)
+    schema, path = T.StructType(fields), ship(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
@@ -182,6 +191,8 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = B
 
 def decode(ids: Column, path: str = BYTE_BPE) -> Column:
     """The text of a list of ids; null for a null list."""
+    if spark := SparkSession.getActiveSession():
+        ship(spark, path)
 
     @F.pandas_udf(T.StringType())
     def run(lists):  # noqa: ANN001, ANN202

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigilake.functions import lexicons as X
@@ -108,6 +108,16 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return S.split(read(spark, d, "documents"), limit=LIMIT, overlap=OVERLAP)
 
 
+def p9_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Of each text that isn't null: characters covered by its pieces in order, and how many pieces leave a gap, are over
+    the limit, or share more than the overlap."""
+    pieces = S.split(read(spark, d, "documents"), limit=LIMIT, overlap=OVERLAP, all_texts=True, with_text=False)
+    before = F.coalesce(F.lag("end_char").over(Window.partitionBy("doc_id").orderBy("piece")), F.lit(0))
+    pieces = pieces.withColumn("gap", F.col("first_char") > before)
+    bad = lambda c, name: F.count_if(c).alias(name)
+    return pieces.groupBy("doc_id").agg(F.max("end_char").cast("bigint").alias("n_chars"), bad(F.col("gap"), "n_gaps"), bad(F.col("n_tokens") > LIMIT, "n_over_limit"), bad(F.col("n_overlap") > OVERLAP, "n_over_overlap"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     pieces = S.split(read(spark, d, "documents"), limit=LIMIT, overlap=OVERLAP, with_text=False)
     return pieces.filter(F.col("piece") == 0).select("doc_id").distinct()
@@ -126,6 +136,7 @@ QUERIES = {
     "p8_items": p8_items,
     "p9_found": p9_found,
     "p9_pieces": p9_pieces,
+    "p9_coverage": p9_coverage,
 }
 _PAIRS = """
 with r as (select distinct safetyreportid s, 'D:' || trim(rxcui) i from adult_fact where safetyreportid is not null and rxcui is not null
@@ -140,4 +151,5 @@ SQL: dict[str, str] = {
     + """select item_a, item_b, n_ab, a.n n_a, b.n n_b, t.n n, (n_ab / a.n) * (t.n / b.n) lift,
          case when n_ab < a.n then (1 - b.n / t.n) / (1 - n_ab / a.n) end conviction
          from p join c a on a.i = item_a join c b on b.i = item_b, t""",
+    "p9_coverage": "select doc_id, length(text) n_chars, cast(0 as bigint) n_gaps, cast(0 as bigint) n_over_limit, cast(0 as bigint) n_over_overlap from documents where text is not null",
 }

@@ -1,7 +1,8 @@
 """Texts over a token limit cut into pieces at natural boundaries, with overlap.
 
-A text's tokens give prefix sums of bytes. Every token end is classed by the characters around it: end of a paragraph,
-of a line, of a sentence, or of a word; each class is a sorted array of token positions. A piece that begins at token s
+A text's tokens give prefix sums of bytes, and these of characters. Every token end is classed by the characters around
+it, in any script: end of a paragraph, of a line, of a sentence (its marks, closing quotes and brackets included), or of a
+word, which is any text before white space; each class is a sorted array of token positions. A piece that begins at token s
 ends at the last boundary at or under s + limit, found by binary search, of the strongest class that fills at least
 ``fill`` of the limit; word ends need no such fill. Where there is none, the cut is hard, at the last token end that
 doesn't split a character. The next piece begins ``overlap`` tokens before that end, or at the first natural boundary
@@ -23,29 +24,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigilake.llm.encode import BYTE_BPE, SLICE, Encoder, char_positions, encoder
-
-_SPACE = np.zeros(257, bool)
-_SPACE[[9, 10, 11, 12, 13, 32, 256]] = True  # 256: the end of the text
-
-
-def boundaries(data: bytes, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Token counts after which a paragraph, line, sentence or word ends, strongest first; and those that split no character."""
-    b = np.concatenate([np.zeros(3, np.int16), np.frombuffer(data, np.uint8), np.full(1, 256, np.int16)])
-    at = ends + 3
-    last, before, third, after = b[at - 1], b[at - 2], b[at - 3], b[at]
-    line_end = (last == 10) & (after != 10) & (after != 13)
-    paragraph = line_end & ((before == 10) | ((before == 13) & (third == 10)))
-    stop = (last == 46) | (last == 33) | (last == 63)  # . ! ?
-    wide = (third == 0xE3) & (before == 0x80) & (last == 0x82)  # the ideographic full stop
-    wide |= (third == 0xEF) & (before == 0xBC) & ((last == 0x81) | (last == 0x9F))
-    sentence = (stop & _SPACE[after]) | (wide & (after != 256))
-    line_end &= ~_SPACE[after]  # begins a pre-token, as does white space after a word
-    paragraph &= line_end
-    word = (_SPACE[after] & ~_SPACE[last] & (last < 128)) | line_end
-    whole = (after & 0xC0) != 0x80
-    index = np.arange(1, len(ends) + 1)
-    return [index[x & whole] for x in (paragraph, line_end, sentence, word)], index[whole]
+from vigilake.llm.encode import BYTE_BPE, SLICE, Encoder, char_positions, encoder, ship
+
+def _code_points(*parts: str | range) -> np.ndarray:
+    return np.unique(np.array([ord(x) if isinstance(x, str) else x for p in parts for x in p], np.uint32))
+
+
+END = 0x110000  # stands after the last character
+WHITE = _code_points(range(9, 14), " \x85\xa0\u1680", range(0x2000, 0x200B), "\u2028\u2029\u202f\u205f\u3000", [END])
+MAYBE_WHITE = _code_points(WHITE.tolist(), range(0x1C, 0x20), "\u180e\u200b\ufeff")  # white in some version of Unicode
+LINE_ENDS, PARAGRAPH_ENDS = _code_points("\n\x85\u2028\u2029"), _code_points("\u2029")
+STOPS = _code_points(".!?\u2026\u203c\u2047\u2048\u2049\u061f\u06d4\u0964\u0965\u1362\u1367\u104b\u17d4\u0589")  # before white space
+WIDE_STOPS = _code_points("\u3002\uff01\uff1f\uff61\uff0e")  # end a sentence whatever follows
+CLOSERS = _code_points("\"')]}\xbb\u2019\u201d\u203a\u300d\u300f\u3011\uff09")
+
+
+def boundaries(data: bytes, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Token counts after which a paragraph, line, sentence or word ends, strongest first; those that split no character;
+    and, of the natural ones, those where a pre-token surely ends. All by characters, in any script: a word ends at any
+    other character before white space."""
+    b = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(1, np.uint8)])
+    index = np.flatnonzero((b[ends] & 0xC0) != 0x80) + 1
+    chars = char_positions(data)
+    at = (ends if chars is None else chars[ends])[index - 1] + 3
+    text = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32)
+    c = np.concatenate([np.zeros(3, np.uint32), text, np.full(1, END, np.uint32)])
+    last, before, third, after = c[at - 1], c[at - 2], c[at - 3], c[at]
+    white = np.isin(after, WHITE)
+    line_end = np.isin(last, LINE_ENDS) & ~white & ~np.isin(after, MAYBE_WHITE)  # begins a pre-token, as does white space after a word
+    paragraph = line_end & (np.isin(before, LINE_ENDS) | ((before == 13) & np.isin(third, LINE_ENDS)) | np.isin(last, PARAGRAPH_ENDS))
+    closed = np.isin(last, CLOSERS)
+    mark = np.where(closed, before, last)
+    wide = np.isin(mark, WIDE_STOPS) & ~np.isin(after, CLOSERS) & ~np.isin(after, WIDE_STOPS) & (after != END)
+    sentence = (np.isin(mark, STOPS) & white) | wide
+    word = (white & ~np.isin(last, MAYBE_WHITE)) | line_end
+    letter = np.zeros(len(after), bool)
+    for i in np.flatnonzero(wide & ~white):
+        letter[i] = chr(after[i]).isalnum()
+    sure = word | (wide & letter)
+    return [index[x] for x in (paragraph, line_end, sentence, word)], index, index[sure]
 
 
 def _last(sorted_positions: np.ndarray, most: int) -> int:
@@ -58,21 +75,21 @@ def pieces(e: Encoder, text: str, ids: np.ndarray, limit: int, overlap: int, fil
     """(first character, character after the last, tokens, tokens shared with the piece before) of each piece."""
     data = text.encode("utf-8", "replace")
     ends, n = e.byte_ends(ids), len(ids)
-    levels, whole = boundaries(data, ends)
+    levels, whole, sure = boundaries(data, ends)
     natural, chars = np.unique(np.concatenate(levels)), char_positions(data)
     byte = np.concatenate([[0], ends])
     char = byte if chars is None else chars[byte]
-    natural_set = set(natural.tolist())
+    sure_set = set(sure.tolist())
 
     def tokens(start: int, cut: int) -> int:
         """Tokens of the piece encoded by itself."""
         piece = text[char[start] : char[cut]]
         body = piece.rstrip()
         run = piece[len(body) :]
-        if body and (start == 0 or start in natural_set) and (cut == n or cut in natural_set):
+        if body and (start == 0 or start in sure_set) and (cut == n or cut in sure_set):
             if not run:
                 return cut - start
-            # Between natural boundaries the pre-tokens are those of the whole text, but for the white space at the end.
+            # Between sure boundaries the pre-tokens are those of the whole text, but for the white space at the end.
             head = int(np.searchsorted(ends, byte[cut] - len(run.encode()))) + 1
             if byte[head] == byte[cut] - len(run.encode()):
                 return head - start + e.count_of(run)
@@ -122,7 +139,7 @@ SCHEMA = [
 
 def split(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 512, overlap: int = 64, fill: float = 0.5, path: str = BYTE_BPE, all_texts: bool = False, with_text: bool = True) -> DataFrame:
     """(key, piece, first_char, end_char, n_tokens, n_overlap, text): the pieces of each text over the limit."""
-    schema = T.StructType([df.schema[key], *SCHEMA])
+    schema, path = T.StructType([df.schema[key], *SCHEMA]), ship(df.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
