@@ -490,7 +490,7 @@ def match_values(df: DataFrame, field: str, value: str, key: str, entries: DataF
         own = patterns if n_blocks == 1 else patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(n_blocks)) == b)
         blocks.append((uuid.uuid4().hex, spark.sparkContext.broadcast([tuple(r) for r in own.collect()])))
     # Each distinct value is matched once, in tasks of their own number: the values are few bytes and much work.
-    values = cases.select("raw_value").distinct().repartition(shuffle_partitions(spark), "raw_value")
+    values = cases.select("raw_value").distinct().repartition(shuffle_partitions(spark), F.xxhash64("raw_value"))
     def entry_keys(batch: pa.RecordBatch) -> list[tuple]:
         return [(" ".join(sorted(parts_of(c or ()))), t) for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
 
