@@ -1,10 +1,12 @@
 """Attribute-value rows into one wide, typed row per entity.
 
 Keys are matched to attributes and values are read into their types by column expressions, inside the scan stage. The
-cells then go through ``combineByKey``: an entity's combiner is a small register file, one slot per attribute seen,
-each slot the distinct values in one notation. Merging two registers is set union slot by slot, hence associative and
-commutative, so duplicates disappear on the map side before anything is shuffled and one entity that owns a third of
-all rows sends one register per map task. Typed encoders write the registers out as full rows.
+cells then go through ``combineByKey``. Its keys are buckets of entities, its combiners register files: the entities'
+slot registers as columns of (entity, entry, slot, cell), a register's slot holding the distinct values in one notation.
+Merging is set union slot by slot, hence associative and commutative. Files are merged on the map side before anything is
+shuffled and whenever one has grown to twice its size, so an entity that owns a third of all rows sends only its distinct
+cells. Typed encoders, one per kind, write the registers out as full rows. All of it works on Arrow columns: no row ever
+becomes a Python object. Buckets follow the size of the input.
 
 Defined results: a null entry counts as 0; a null report id is a key of its own; unknown keys, null tokens and values
 that cannot be read as their attribute's type are dropped; an entity with no readable cell gives no row; list cells are
@@ -15,10 +17,12 @@ columns of the input, whatever their names, are ignored. An empty table gives an
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from datetime import date
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,63 +126,142 @@ def _if_kept(row: Column, test: Callable[[Column], Column]) -> Column:
     return F.explode(F.filter(F.array(row), test)).alias("x")
 
 
-# The register file of an entity: slot -> canonical text, or a set of them once there are two. Most slots hold one text,
-# and a plain one takes a fraction of a set's memory. Module level, so that the functions travel by name.
-Register = dict[int, str | set[str]]
+# A register file: record batches of (entity, entry, slot, cell), and its size when it was last merged.
+REGISTERS = pa.schema([("e", pa.string()), ("n", pa.int64()), ("s", pa.int32()), ("c", pa.string())])
+FLUSH_ROWS, FLUSH_BYTES = 1_000_000, 64 << 20  # cells that a map task holds before it hands on its files
+MERGE_BYTES = 32 << 20
+BUCKET_BYTES = 64 << 20  # of the input
+ROWS_OUT = 20_000  # wide rows in one batch
+File = tuple[list[bytes], int]
 
 
-def _open(cell: tuple[int, str]) -> Register:
-    return {cell[0]: cell[1]}
+def _merged(t: pa.Table) -> pa.Table:
+    """Each cell of a register once: the associative merger."""
+    return t.group_by(REGISTERS.names, use_threads=False).aggregate([]).select(REGISTERS.names).cast(REGISTERS)
 
 
-def _put(register: Register, cell: tuple[int, str]) -> Register:
-    slot, text = cell
-    held = register.get(slot)
-    if held is None:
-        register[slot] = text
-    elif held.__class__ is set:
-        held.add(text)
-    elif held != text:
-        register[slot] = {held, text}
-    return register
+def _table(parts: Iterable[bytes]) -> pa.Table:
+    return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(p), REGISTERS) for p in parts], REGISTERS)
 
 
-def _union(a: Register, b: Register) -> Register:
-    if len(a) < len(b):
-        a, b = b, a
-    for slot, more in b.items():
-        for text in more if more.__class__ is set else (more,):
-            _put(a, (slot, text))
-    return a
+def _bytes(t: pa.Table) -> list[bytes]:
+    return [b.serialize().to_pybytes() for b in t.combine_chunks().to_batches()]
 
 
-# Typed encoders, one per kind: a slot's set of canonical texts into the cell.
-ENCODERS: dict[str, Callable[[Iterable[str]], object]] = {
-    "string": sorted,
-    "long": lambda v: sorted(map(int, v)),
-    "double": lambda v: sorted(set(map(float, v))),
-    "date": lambda v: [date.fromisoformat(x) for x in sorted(v)],
-    "flag": lambda v: "1" in v,
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells, each with its bucket, as one register file a bucket."""
+
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        t = t.group_by(t.column_names, use_threads=False).aggregate([]).combine_chunks()
+        bucket = t["bucket"].to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        t, bucket = t.select(REGISTERS.names).cast(REGISTERS).take(order), bucket[order]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        files = [b for i, j in zip(first, [*first[1:], len(bucket)]) for b in _bytes(t.slice(i, j - i))]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int32()), pa.array(files, pa.binary())], names=["bucket", "file"])
+
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= FLUSH_ROWS or size >= FLUSH_BYTES:
+            yield flush(held)
+            held, rows, size = [], 0, 0
+    if held:
+        yield flush(held)
+
+
+# Module level, so that the functions travel by name.
+def _open(part: bytes) -> File:
+    return [part], max(MERGE_BYTES, len(part))
+
+
+def _put(file: File, part: bytes) -> File:
+    return _union(file, ([part], 0))
+
+
+def _union(a: File, b: File) -> File:
+    parts, known = a[0] + b[0], max(a[1], b[1])
+    if sum(map(len, parts)) > 2 * known:
+        parts = _bytes(_merged(_table(parts)))
+        known = max(MERGE_BYTES, sum(map(len, parts)))
+    return parts, known
+
+
+def _lists(values: pa.Array, owner: np.ndarray, n: int) -> pa.Array:
+    """A list of sorted values per entity; null for none."""
+    t = pa.table({"o": owner, "v": values})
+    t = t.take(pc.sort_indices(t, [("o", "ascending"), ("v", "ascending")]))
+    count = np.bincount(owner, minlength=n)
+    offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), t["v"].combine_chunks(), mask=pa.array(count == 0))
+
+
+# Typed encoders, one per kind: (cells of a slot, whose they are, number of entities) into a column.
+ENCODERS: dict[str, Callable[[pa.Array, np.ndarray, int], pa.Array]] = {
+    "string": _lists,
+    "long": lambda c, o, n: _lists(c.cast(pa.int64()), o, n),
+    "double": lambda c, o, n: _lists(c.cast(pa.float64()), o, n),
+    "date": lambda c, o, n: _lists(c.cast(pa.date32()), o, n),
+    "flag": lambda c, o, n: _flags(c, o, n),
 }
 
 
+def _flags(cells: pa.Array, owner: np.ndarray, n: int) -> pa.Array:
+    out = np.zeros(n, bool)
+    out[owner[np.asarray(pc.equal(cells, "1"))]] = True
+    return pa.array(out, mask=np.bincount(owner, minlength=n) == 0)
+
+
+def _encode(file: File, attributes: tuple[Attribute, ...]) -> Iterator[pa.RecordBatch]:
+    """The full rows of a register file's entities."""
+    t = _merged(_table(file[0])).combine_chunks()
+    e, n, s, c = (t[x].combine_chunks() if t.num_rows else pa.array([], REGISTERS.field(x).type) for x in REGISTERS.names)
+    code = e.dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int64)
+    entries, of = np.unique(n.to_numpy(), return_inverse=True)
+    _, first, owner = np.unique(code * max(1, len(entries)) + of, return_index=True, return_inverse=True)
+    columns, slots = [e.take(pa.array(first)), n.take(pa.array(first))], s.to_numpy()
+    for i, a in enumerate(attributes):
+        own = slots == i
+        columns.append(ENCODERS[a.kind](c.filter(pa.array(own)), owner[own], len(first)))
+    yield from pa.Table.from_arrays(columns, names=["e", "n", *(a.name for a in attributes)]).to_batches(max_chunksize=ROWS_OUT)
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """What the optimizer knows of the size of the input, a bound without one."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def widen(df: DataFrame, attributes: tuple[Attribute, ...] = OPENFDA, entity: str = "safetyreportid", entry: str = "entry", key: str = "key", value: str = "value") -> DataFrame:
     """One row per (entity, entry) with a typed column per attribute."""
     spark = df.sparkSession
     schema = T.StructType([T.StructField(entity, T.StringType()), T.StructField(entry, T.LongType()), *(T.StructField(a.name, a.type) for a in attributes)])
-    encoders = [(i, a.kind) for i, a in enumerate(attributes)]
+    partitions = max(shuffle_partitions(spark), -(-_input_bytes(df) // BUCKET_BYTES))
+    source = cells(df, attributes, entity, entry, key, value).withColumn("bucket", F.pmod(F.xxhash64("e", "n"), F.lit(partitions)).cast("int"))
+    packed = source.mapInArrow(_pack, "bucket int, file binary")
+    # An RDD's stages show no query plan: the name says what they read.
+    named = packed.rdd.setName("cells of " + ", ".join(sorted({re.sub(r"(\.parquet)/.*", r"\1", f) for f in df.inputFiles()})[:3]))
+    files = named.map(lambda r: (r[0], bytes(r[1]))).combineByKey(_open, _put, _union, numPartitions=partitions)
+    wide = spark.createDataFrame(files.flatMap(lambda f: [(_ipc(b),) for b in _encode(f[1], attributes)]), T.StructType([T.StructField("rows", T.BinaryType())]), verifySchema=False)
 
-    def encode(item: tuple) -> tuple:
-        (e, n), register = item
-        texts = {i: x if x.__class__ is set else (x,) for i, x in register.items()}
-        return (e, n, *(ENCODERS[kind](texts[i]) if i in texts else None for i, kind in encoders))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch.column(0).to_pylist():
+                with pa.ipc.open_stream(b) as r:
+                    yield from (x.rename_columns(schema.names) for x in r)
 
-    source = cells(df, attributes, entity, entry, key, value)
-    # An RDD's stages show no query plan: the name says what they read.
-    named = source.rdd.setName("cells of " + ", ".join(sorted({re.sub(r"(\.parquet)/.*", r"\1", f) for f in df.inputFiles()})[:3]))
-    rows = named.map(lambda r: ((r[0], r[1]), (r[2], r[3])))
-    rows = rows.combineByKey(_open, _put, _union, numPartitions=shuffle_partitions(spark)).map(encode)
-    return spark.createDataFrame(rows, schema, verifySchema=False)
+    return wide.mapInArrow(rows, schema)
+
+
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
 def filled(wide: DataFrame, attributes: tuple[Attribute, ...] = OPENFDA, entity: str = "safetyreportid", entry: str = "entry") -> DataFrame:
