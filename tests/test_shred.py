@@ -54,7 +54,8 @@ def test_shapes(spark):
         '{"safetyreportid": "\\ud800", "patient": {"reaction": {"reactionmeddrapt": "\\ud800 x"}}}',
     ]
     assert found(spark, payloads[:-1]) == brute(payloads[:-1])
-    assert found(spark, payloads[:-1], fields=False) == brute(payloads[:-1])
+    for node in (S.REACTION, S.DRUG, S.SUBSTANCE, S.RECURRENCE):
+        assert found(spark, payloads[:-1], only=node) == {r for r in brute(payloads[:-1]) if r[2] == node.name}
     assert S.table(S.shred(frame(spark, payloads[-1:])), S.REACTION).first().reactionmeddrapt.endswith(" x")
 
 
@@ -87,6 +88,30 @@ def test_tables_link_and_hold_leaves(spark):
     assert S.table(s, S.DRUG).filter("record_id = 1").count() == 2
 
 
+def test_depth_beside_the_leaves(spark):
+    deep = "[" * 60_000 + "]" * 60_000
+    texts = ['{"safetyreportid": "1", "x": %s, "patient": {"drug": [{"medicinalproduct": "D", "openfda": %s}, null]}}' % (deep, deep), '{"x": %s}' % deep[:-1], '{"x": %s, "y"}' % deep]
+    rows = S.shred(frame(spark, texts)).collect()
+    assert [(r.table, r.entry) for r in rows] == [("report", -1), ("drug", 0)] and rows[1].fields["medicinalproduct"] == "D" and rows[1].fields["openfda"] is None
+
+
+def test_parser_without_recursion():
+    import pytest
+
+    good = ['{"a": [1, -2.5e3, "x\\"\\u00e9", {}, [], {"b": null, "b": true}], "c": {"d": false}} ', "[]", ' "x"', "3", "null", "[[],[[]]]"]
+    for t in good:
+        assert S._loads_deep(t) == json.loads(t)
+    for t in ["", "[", "{", "[1,]", '{"a"}', '{"a":}', '{"a":1,}', "[1 2]", "]", "{]", "[}", "01", '{"a" 1}', "[1]x", '"\n"', "NaN", ",", "{1:2}", '[1}', '"\\x"']:
+        with pytest.raises(ValueError):
+            S._loads_deep(t)
+
+
+def test_openfda_blocks_as_rows(spark):
+    p = {"safetyreportid": "9", "patient": {"drug": [{"openfda": {"rxcui": ["1", "2", None], "route": "ORAL", "x": None, "n": 5}}, {"openfda": "text"}, {}]}}
+    rows = S.openfda_rows(S.tables(frame(spark, [json.dumps(p)]))["drug"]).collect()
+    assert {tuple(r) for r in rows} == {("rxcui", "1", "9", 0), ("rxcui", "2", "9", 0), ("route", "ORAL", "9", 0), ("n", "5", "9", 0)}
+
+
 def test_real_records_and_empty(spark, small):
     raw = spark.read.parquet(f"{small}/raw_reports.parquet")
     payloads = [(r.record_id, r.payload) for r in raw.collect()]

@@ -25,7 +25,7 @@ def null_tokens(c: Column) -> Column:
 
 def squeeze_upper(c: Column) -> Column:
     """Upper case, trimmed, inner white space made one blank."""
-    return F.upper(strip(F.regexp_replace(c, r"(?U)\s+", " ")))
+    return F.when(~c.rlike("[^!-~ ]|  |^ | $"), F.upper(c)).otherwise(F.upper(strip(F.regexp_replace(c, r"(?U)\s+", " "))))
 
 
 def plain_number_id(c: Column) -> Column:
@@ -39,7 +39,8 @@ def plain_number_id(c: Column) -> Column:
     plain = F.when(plain.isin("", "-", "-0"), F.lit("0")).otherwise(F.regexp_replace(plain, r"^(-?)\.", "$10."))
     wide = F.regexp_replace(t.try_cast("decimal(38,8)").cast("string"), r"\.?0+$", "")
     return (
-        F.when(t == "", None)
+        F.when(c.rlike("^[1-9][0-9]*$"), c)  # as most ids are
+        .when(t == "", None)
         .when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), plain)
         .when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d{1,2}$"), F.coalesce(wide, t))
         .otherwise(t)

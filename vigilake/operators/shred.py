@@ -12,12 +12,14 @@ or an object whose ``results`` holds reports. An object stands for an array of o
 a plain string for a node that allows it; a string for a node with JSON text is read as JSON. Anything else in place of
 an array counts as absent. Positions count from 0 in the array as it stands; null elements take a position but give no
 row. Ids are given as text, also if written as numbers; an absent id is null. Unknown fields are ignored, repeated
-names in an object: the last wins, nested values of a leaf are given as JSON text, unpaired surrogates as U+FFFD.
+names in an object: the last wins, nested values of a leaf are given as compact JSON text (null if nested deeper than the
+interpreter goes), unpaired surrogates as U+FFFD. Depth beside the leaves doesn't matter.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigilake.runtime import cut
+
 
 @dataclass(frozen=True)
 class Node:
@@ -75,13 +79,65 @@ def _whole(text: str) -> object:
     return int(text) if len(text) < 4000 else text
 
 
+_SCAN = re.compile(r'[ \t\n\r]*(?:([{}\[\]:,])|("(?:[^"\\\x00-\x1f]|\\.)*")|(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null))')
+
+
+def _loads(text: str) -> object:
+    """JSON text of any depth; ValueError if it is broken."""
+    try:
+        return json.loads(text, parse_constant=_no_constant, parse_float=_Real, parse_int=_whole)
+    except RecursionError:
+        return _loads_deep(text)
+
+
+def _loads_deep(text: str) -> object:
+    """As ``_loads`` without recursion: a stack of open arrays and objects, each with the name its next value gets."""
+    stack: list[list] = []
+    at, expected, value = 0, "value", None
+    while True:
+        m = _SCAN.match(text, at)
+        if m is None:
+            raise ValueError(at)
+        at, (sign, string, scalar) = m.end(), m.groups()
+        done = False
+        if expected in ("value", "value or ]") and (string or scalar):
+            value = json.loads(string or scalar, parse_float=_Real, parse_int=_whole)
+            done = True
+        elif expected in ("name", "name or }") and string:
+            stack[-1][1], expected = json.loads(string), ":"
+        elif sign == ":" and expected == ":":
+            expected = "value"
+        elif sign in ("[", "{") and expected.startswith("value"):
+            stack.append([[] if sign == "[" else {}, None])
+            expected = "value or ]" if sign == "[" else "name or }"
+        elif sign == "," and expected == "end":
+            expected = "value" if isinstance(stack[-1][0], list) else "name"
+        elif sign == "]" and (expected == "value or ]" or (expected == "end" and isinstance(stack[-1][0], list))):
+            value, done = stack.pop()[0], True
+        elif sign == "}" and (expected == "name or }" or (expected == "end" and isinstance(stack[-1][0], dict))):
+            value, done = stack.pop()[0], True
+        else:
+            raise ValueError(at)
+        if done:
+            if not stack:
+                if text[at:].strip(" \t\n\r"):
+                    raise ValueError(at)
+                return value
+            held, name = stack[-1]
+            if isinstance(held, list):
+                held.append(value)
+            else:
+                held[name] = value
+            expected = "end"
+
+
 def parse(payload: str | None) -> list:
     """The reports of a payload, nulls included; empty if it is broken or no object."""
     if payload is None:
         return []
     try:
-        x = json.loads(payload, parse_constant=_no_constant, parse_float=_Real, parse_int=_whole)
-    except (ValueError, RecursionError):
+        x = _loads(payload)
+    except ValueError:
         return []
     if not isinstance(x, dict):
         return []
@@ -97,8 +153,8 @@ def _elements(node: Node, parent: dict) -> list:
     if isinstance(x, str):
         if node.text_is_json:
             try:
-                x = json.loads(x, parse_constant=_no_constant, parse_float=_Real, parse_int=_whole)
-            except (ValueError, RecursionError):
+                x = _loads(x)
+            except ValueError:
                 return []
         elif node.text_is_element:
             return [x]
@@ -118,7 +174,12 @@ def _leaf(x: object, path: tuple[str, ...]) -> str | None:
         return "true" if x else "false"
     if isinstance(x, _Real):
         return x.text
-    return str(x) if isinstance(x, int) else json.dumps(x, ensure_ascii=False)
+    if isinstance(x, int):
+        return str(x)
+    try:
+        return json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+    except RecursionError:
+        return None
 
 
 @dataclass
@@ -234,20 +295,16 @@ def _clean(values: np.ndarray) -> pa.Array:
         return pa.array([None if v is None else v.encode("utf-16", "surrogatepass").decode("utf-16", "replace") for v in values], pa.string())
 
 
-def _rows(shredder: Shredder, record_ids: np.ndarray, with_fields: bool) -> Iterator[pa.RecordBatch]:
+def _rows(shredder: Shredder, record_ids: np.ndarray, only: str | None) -> Iterator[pa.RecordBatch]:
     ids = shredder.root_values(("safetyreportid",))
-    for node in shredder.nodes:
+    for node in shredder.nodes if only is None else [n for n in shredder.nodes if n.name == only]:
         t, k = shredder.table(node.name), shredder.depth[node.name]
         n = len(t["record"])
         if not n:
             continue
         none = np.full(n, -1, np.int64)
-        if with_fields:
-            paths = ["/".join(p) for p in shredder.leaves[node.name]]
-            values = _clean(np.stack([t[p] for p in paths], axis=1).ravel())
-            fields = pa.MapArray.from_arrays(np.arange(n + 1, dtype=np.int32) * len(paths), pa.array(paths * n, pa.string()), values)
-        else:
-            fields = pa.nulls(n, pa.map_(pa.string(), pa.string()))
+        paths = ["/".join(p) for p in shredder.leaves[node.name]]
+        values = _clean(np.stack([t[p] for p in paths], axis=1).ravel())
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([node.name] * n, pa.string()),
@@ -256,17 +313,18 @@ def _rows(shredder: Shredder, record_ids: np.ndarray, with_fields: bool) -> Iter
                 _clean(ids[t["report"]]),
                 pa.array(t["position2"] if k > 1 else none, pa.int64()),
                 pa.array(t["position3"] if k > 2 else none, pa.int64()),
-                fields,
+                pa.MapArray.from_arrays(np.arange(n + 1, dtype=np.int32) * len(paths), pa.array(paths * n, pa.string()), values),
             ],
             names=SCHEMA.names,
         )
 
 
-def shred(df: DataFrame, root: Node = REPORT, record: str = "record_id", payload: str = "payload", fields: bool = True) -> DataFrame:
+def shred(df: DataFrame, root: Node = REPORT, record: str = "record_id", payload: str = "payload", only: Node | None = None) -> DataFrame:
     """All tables of ``df``'s payloads in one frame of (table, record_id, report_pos, safetyreportid, entry, sub_entry,
-    fields): entry and sub_entry are -1 where the table has none; fields holds the leaves as text. ``fields=False``
-    shreds only the leaf of each path that carries its levels."""
-    leaves = None if fields else {root.name: (("safetyreportid",),)}
+    fields): entry and sub_entry are -1 where the table has none; fields holds the leaves as text. ``only`` gives one
+    table and reads its columns alone, beside the one of each path that carries its levels."""
+    leaves = None if only is None else {only.name: only.leaves}
+    name = None if only is None else only.name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,11 +333,29 @@ def shred(df: DataFrame, root: Node = REPORT, record: str = "record_id", payload
                 shredder = Shredder(root, leaves)
                 for text in part.column(1).to_pylist():
                     shredder.add(parse(text))
-                yield from _rows(shredder, np.asarray(part.column(0).to_pylist(), object), fields)
+                yield from _rows(shredder, np.asarray(part.column(0).to_pylist(), object), name)
 
     return df.select(F.col(record).cast("bigint"), F.col(payload).cast("string")).mapInArrow(run, SCHEMA)
 
 
+def tables(df: DataFrame, root: Node = REPORT) -> dict[str, DataFrame]:
+    """Every flat table by name, from one parse of all payloads that is written once."""
+    once, out, nodes = cut(shred(df, root)), {}, [root]
+    while nodes:
+        node = nodes.pop()
+        out[node.name] = table(once, node)
+        nodes += node.children
+    return out
+
+
+def openfda_rows(drugs: DataFrame) -> DataFrame:
+    """(key, value, safetyreportid, entry) of the drug table: the openFDA block's lists and plain values as attribute rows."""
+    block = F.explode(F.from_json("openfda", "map<string,string>")).alias("key", "text")
+    rows = drugs.select("safetyreportid", "entry", block).filter(F.col("text").isNotNull())
+    values = F.when(F.col("text").startswith("["), F.from_json("text", "array<string>")).otherwise(F.array("text"))
+    return rows.select("key", F.explode(values).alias("value"), "safetyreportid", "entry").filter(F.col("value").isNotNull())
+
+
 def table(shredded: DataFrame, node: Node) -> DataFrame:
     """The flat table of one node out of a shredded frame: keys, then a column per leaf."""
     keys = ["record_id", "report_pos", "safetyreportid"]

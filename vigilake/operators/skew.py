@@ -30,23 +30,13 @@ def profile(weighted: DataFrame, bounded_percentiles: tuple[float, ...] = ()) ->
     one place and are meant for values of a bounded domain (ages, counts), not for ids.
     """
     present = F.col("value").isNotNull()
-    aggs = [
-        F.sum("weight").alias("n_rows"),
-        F.count("value").alias("n_values"),
-        F.max(F.when(present, F.col("weight"))).alias("mode_weight"),
-        F.max_by("value", F.when(present, F.struct("weight", _reverse("value", weighted)))).alias("mode_value"),
-    ]
+    aggs = [F.sum("weight").alias("n_rows"), F.count("value").alias("n_values"), F.max(F.when(present, F.col("weight"))).alias("mode_weight")]
     for p in bounded_percentiles:
         aggs.append(F.percentile(F.col("value").cast("double"), p, F.col("weight")).alias(f"p{round(100 * p)}"))
-    return weighted.groupBy("key_field", "key_value").agg(*aggs)
-
-
-def _reverse(name: str, df: DataFrame) -> Column:
-    """A sort key that makes the smallest value win a tie: negated numbers, or the text's code points negated."""
-    kind = dict(df.dtypes)[name]
-    if kind in ("int", "bigint", "double", "float", "smallint", "tinyint"):
-        return -F.col(name)
-    return F.transform(F.split(F.col(name), ""), lambda ch: -F.ascii(ch))
+    # The mode in two steps: the heaviest weight, as negated number, then the smallest value that has it.
+    mode = F.min(F.when(present, F.struct(-F.col("weight"), "value")))["value"].alias("mode_value")
+    out = weighted.groupBy("key_field", "key_value").agg(*aggs, mode)
+    return out.select("key_field", "key_value", "n_rows", "n_values", "mode_weight", "mode_value", *out.columns[5:-1])
 
 
 def key_counts(df: DataFrame, keys: dict[str, Column], value: Column) -> DataFrame:

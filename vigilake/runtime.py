@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +16,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there afterwards.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where none is set, as in local
-    tests, a temporary one is taken.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Where none is set, a local session takes a
+    temporary one, removed at its end; any other is an error, as executors couldn't read what others wrote.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="vigilake-"))
+        if not named:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="vigilake-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
     return df.checkpoint(eager=True)
 
 
