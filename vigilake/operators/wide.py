@@ -111,19 +111,15 @@ def _canonical(kind: str, v: Column) -> Column:
 
 
 def cells(df: DataFrame, attributes: tuple[Attribute, ...] = OPENFDA, entity: str = "safetyreportid", entry: str = "entry", key: str = "key", value: str = "value") -> DataFrame:
-    """(entity, entry, slot, cell): one row per readable attribute-value row, by column expressions only."""
-    own = F.struct(F.col(entity).alias("e"), F.coalesce(F.col(entry).cast("bigint"), F.lit(0)).alias("n"), _slot(F.col(key), attributes).alias("s"), strip(F.col(value)).alias("v"))
-    flat = df.select(_if_kept(own, lambda x: x["s"].isNotNull() & x["v"].isNotNull() & ~x["v"].isin(*NULL_TOKENS))).select("x.*")
+    """(e, n, s, c): entity, entry, slot and cell of each attribute-value row, by column expressions only. Slot or cell is
+    null where the row has none; such rows are dropped where the rows are read next, as a filter here would be pushed below
+    and work each out twice."""
+    flat = df.select(F.col(entity).cast("string").alias("e"), F.coalesce(F.col(entry).cast("bigint"), F.lit(0)).alias("n"), _slot(F.col(key), attributes).alias("s"), strip(F.col(value)).alias("v"))
     cell = None
     for kind in sorted({a.kind for a in attributes}):
-        of = F.col("s").isin(*(i for i, a in enumerate(attributes) if a.kind == kind))
+        of = F.col("s").isin(*(i for i, a in enumerate(attributes) if a.kind == kind)) & ~F.col("v").isin(*NULL_TOKENS)
         cell = F.when(of, _canonical(kind, F.col("v"))) if cell is None else cell.when(of, _canonical(kind, F.col("v")))
-    return flat.select(_if_kept(F.struct("e", "n", "s", cell.alias("c")), lambda x: x["c"].isNotNull())).select("x.*")
-
-
-def _if_kept(row: Column, test: Callable[[Column], Column]) -> Column:
-    """Explodes a list of the row, or of nothing. A filter would be pushed below and work the row out twice."""
-    return F.explode(F.filter(F.array(row), test)).alias("x")
+    return flat.select("e", "n", "s", cell.alias("c"))
 
 
 # A register file: record batches of (entity, entry, slot, cell), and its size when it was last merged.
@@ -140,12 +136,18 @@ def _merged(t: pa.Table) -> pa.Table:
     return t.group_by(REGISTERS.names, use_threads=False).aggregate([]).select(REGISTERS.names).cast(REGISTERS)
 
 
+CODEC = pa.Codec("zstd")
+
+
 def _table(parts: Iterable[bytes]) -> pa.Table:
-    return pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(p), REGISTERS) for p in parts], REGISTERS)
+    whole = (CODEC.decompress(p[8:], int.from_bytes(p[:8])) for p in parts)
+    return pa.Table.from_batches([pa.ipc.read_record_batch(x, REGISTERS) for x in whole], REGISTERS)
 
 
 def _bytes(t: pa.Table) -> list[bytes]:
-    return [b.serialize().to_pybytes() for b in t.combine_chunks().to_batches()]
+    """Compressed batches, each after its size."""
+    whole = (b.serialize() for b in t.combine_chunks().to_batches())
+    return [x.size.to_bytes(8) + CODEC.compress(x, asbytes=True) for x in whole]
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,6 +166,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     rows = size = 0
     for batch in batches:
+        batch = batch.filter(pc.and_(batch["s"].is_valid(), batch["c"].is_valid()))
         if batch.num_rows:
             held.append(batch)
             rows, size = rows + batch.num_rows, size + batch.nbytes
