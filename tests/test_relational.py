@@ -36,15 +36,23 @@ def test_tables(spark):
 
 
 def test_cascade_takes_the_first_hit(spark):
-    names = spark.createDataFrame([("FOO", ["X"]), ("BAR", ["NOPE", "X"]), ("SYN", []), ("BAZ TABLET", []), ("BRAND", None), ("FOOO", []), ("POLLENS", []), ("ZZZ", [])], "basename string, ingredients array<string>")
+    rows = [
+        ("FOO", ["X"]), ("BAR", ["NOPE", "X"]), ("SYN", []), ("NONE", ["?", "syn"]), ("BAZ TABLET", []), ("BRAND", None), ("MY BRAND IV", []), ("TWOWORDS", []), ("FOOOZ", []), ("POLLENS", []), ("QQQ", []), ("KEGGY", []), ("KEGX", []),
+        ("KEGGZZ", []), ("", ["x"]), (None, ["x"]), ("A BRA", []),
+    ]
+    names = spark.createDataFrame(rows, "basename string, ingredients array<string>")
     table = lambda rows, s: spark.createDataFrame(rows, s)
-    exact = table([("foo", "1"), ("FOO", "0"), ("x", "2"), ("baz", "3"), ("title", "4"), ("pollens", "5")], "name string, rxcui string")
-    titles = lambda n: table([(n, "Title")], "name string, title string")
-    out = {r.basename: (r.rxcui, r.source) for r in L.cascade(names, exact, titles("syn"), titles("brand"), exact).collect()}
+    exact = table([("foo", "1"), ("FOO", "0"), ("x", "2"), ("baz", "3"), ("title", "4"), ("pollens", "5"), ("human", "6"), ("foooo", "7"), (None, "8")], "name string, rxcui string")
+    titles = lambda *rows: table(rows, "name string, title string")
+    kegg = table([("keggy", "D1", "title"), ("kegx", "D2", "title"), ("KEGGZZ", "D3", "Ttitle")], "name string, kegg_id string, title string")
+    out = {r.basename: (r.rxcui, r.lookup_hit, r.source) for r in L.cascade(names, exact, titles(("syn", "Title")), titles(("brand", "Title"), ("TWOWORDS", "Human globulin"), ("BRA", "Title")), exact, kegg).collect()}
+    none = (None, "not_found", "not_found")
     assert out == {
-        "FOO": ("0", "exact_basename"), "BAR": ("2", "exact_ingredients"), "SYN": ("4", "synonym"), "BAZ TABLET": ("3", "suffix_strip"), "BRAND": ("4", "brand"),
-        "FOOO": ("0", "approx_match"), "POLLENS": (None, "skipped_non_drug"), "ZZZ": (None, None),
+        "FOO": ("0", "basename", "rxnav_basename"), "BAR": ("2", "ingredients", "rxnav_ingredients"), "SYN": ("4", "Title", "local_cid_fallback"), "NONE": ("4", "Title", "local_cid_fallback"), "BAZ TABLET": ("3", "suffix_strip:BAZ", "suffix_strip"),
+        "BRAND": ("4", "Title", "chembl_brand"), "MY BRAND IV": ("4", "Title", "chembl_brand"), "TWOWORDS": ("6", "Human globulin", "chembl_brand"), "FOOOZ": ("7", "approx:foooo", "approx_match"), "POLLENS": (None, "not_found", "skipped_non_drug"),
+        "QQQ": none, "KEGGY": ("4", "kegg:D1:title", "kegg_inn"), "KEGX": none, "KEGGZZ": ("4", "kegg:D3:Ttitle", "kegg_inn"), "": ("2", "ingredients", "rxnav_ingredients"), None: none, "A BRA": none,
     }
+    assert {r.source for r in L.cascade(names, exact.limit(0), approximate=exact.limit(0)).collect()} == {"not_found", "skipped_non_drug"}
 
 
 def test_quarantine_loses_no_row(spark):
@@ -62,14 +70,17 @@ def test_nearest_blocks_only_single_words_by_their_first_letter(spark):
     sets = lambda a, b: (spark.createDataFrame(a, "n string"), spark.createDataFrame(b, "name string, rxcui string"))
     names, listed = sets(ask, table)
     assert {r.n: r._hit for r in L.nearest(names, "n", "n", listed).collect()} == {"GENERIC BRIZCARIFAM": "1", "FULCONAZOLE": None, "x SULCONAZOLE": "2", "SULCONASOLE": "2", "": None}
+    assert {r._as for r in L.nearest(names, "n", "n", listed).collect()} == {"brizcarifam", "sulconazole", None}
 
     any_ = Random(5)
     word = lambda: "".join(any_.choices("abcdeéß1", k=any_.randint(1, 6)))
     text = lambda: " ".join(word() for _ in range(any_.randint(1, 3)))
     ask, table = sorted({text() for _ in range(150)}), {t: str(i) for i, t in enumerate(sorted({text() for _ in range(150)}))}
+    grams = lambda t: {f"  {t} "[i : i + 3] for i in range(len(t) + 1)}
     best = {}
     for a in ask:
-        near = [(-r, b) for b in table if (len(a.split()) > 1 or a[0] == b[0]) and (r := SequenceMatcher(None, a, b).ratio()) >= 0.7]
+        # names that share a fifth of the trigrams are compared
+        near = [(-r, b) for b in table if 5 * len(grams(a) & grams(b)) >= len(grams(a)) and (len(a.split()) > 1 or a[0] == b[0]) and (r := SequenceMatcher(None, a, b).ratio()) >= 0.7]
         best[a] = table[min(near)[1]] if near else None
     names, listed = sets([(a,) for a in ask], list(table.items()))
     assert {r.n: r._hit for r in L.nearest(names, "n", "n", listed).collect()} == best and 10 < sum(h is not None for h in best.values())

@@ -8,6 +8,8 @@ DOSAGE_FORMS = (
 )
 FORMULATIONS = ("GASTRO", "RESISTANT", "ENTERIC", "LIQUID", "LYOPHILIZED", "LYOPHILISED", "RECONSTITUTED")
 NAME_NOISE = ("FOR", "WITH", "AND", "THE", "USP", "NF", "BP", "EP", "PRN", "NTE", "VIA", "PER", "USE", "NOT", "NEB", "NEBS")
+RELEASE_MODIFIERS = ("EXTENDED", "RELEASE", "MODIFIED", "CONTROLLED", "DELAYED", "IMMEDIATE", "SUSTAINED", "PROLONGED", "SLOW", "ER", "XR", "SR", "CR", "LA", "XL", "RETARD", "DEPOT")
+NOISE = (*SALTS, *DOSAGE_FORMS, *ROUTES, *FORMULATIONS, *RELEASE_MODIFIERS)  # a longer list is a parameter
 COMPANIES = ("PFIZER", "NOVARTIS", "ROCHE", "SANOFI", "MERCK", "BAYER", "ASTRAZENECA", "GSK", "MYLAN", "TEVA", "SANDOZ", "BRISTOL", "SQUIBB", "ABBVIE")
 NON_INGREDIENTS = (
     "HUMAN", "HUMANA", "NORMAL", "STERILE", "PURIFIED", "UNKNOWN", "UNSPECIFIED", "OTHER", "AQUEOUS", "CONCENTRATE", "NOS", "INGREDIENT", "INGREDIENTS", "ACTIVE", "INACTIVE", "WATER", "SALINE",

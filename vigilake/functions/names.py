@@ -104,7 +104,7 @@ def bracket_ingredients(c: Column) -> Column:
     return F.filter(parts, lambda p: (p != "") & ~p.isin(*X.BRACKET_QUALIFIERS) & ~p.rlike(r"^\d"))
 
 
-def without_noise(c: Column, noise: Iterable[str] = (*X.SALTS, *X.DOSAGE_FORMS, *X.ROUTES)) -> Column:
+def without_noise(c: Column, noise: Iterable[str] = X.NOISE) -> Column:
     """The words of a text, upper case, without noise words and repeats, in order."""
     return F.array_join(F.array_distinct(without(words(F.upper(c)), noise)), " ")
 

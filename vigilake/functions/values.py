@@ -74,6 +74,18 @@ def sex(c: Column) -> Column:
     return F.when(up.isin("M", "MALE", "1"), "Male").when(up.isin("F", "FEMALE", "2"), "Female").otherwise("Unknown")
 
 
+# How qualifications are named.
+QUALIFICATIONS = {
+    "PHYSICIAN": "Physician", "PHARMACIST": "Pharmacist", "OTHER HEALTH-PROFESSIONAL": "Other health professional", "OTHER HEALTH PROFESSIONAL": "Other health professional", "LAWYER": "Lawyer",
+    "CONSUMER": "Consumer or non-health professional", "NON-HEALTH PROFESSIONAL": "Consumer or non-health professional",
+}
+
+
+def qualification(c: Column) -> Column:
+    known = F.create_map(*(F.lit(x) for kv in QUALIFICATIONS.items() for x in kv))
+    return F.coalesce(F.try_element_at(known, F.upper(F.trim(c))), F.trim(c), F.lit("Null/unknown"))
+
+
 def count_percent(n: Column, total: Column) -> Column:
     """``1,234 (5.6%)``; a total of nothing gives 0.0%."""
     percent = F.when(total > 0, 100.0 * n / total).otherwise(F.lit(0.0))
@@ -120,7 +132,8 @@ def substance_in_text(c: Column) -> Column:
 
 
 def url_quoted(c: Column) -> Column:
-    return F.regexp_replace(F.url_encode(c), r"\+", "%20")
+    """Percent signs for all but letters, digits and ``-._~``."""
+    return F.replace(F.replace(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
 
 
 def worst_status(statuses: Column, order: tuple[str, ...] = ("not_found", "approx", "exact")) -> Column:

@@ -1,13 +1,15 @@
-"""Record linkage of names to identifiers: a cascade of dictionary joins, first hit wins, doubtful rows quarantined.
+"""Record linkage of names to identifiers: a cascade of dictionary look-ups, first hit wins, doubtful rows quarantined.
 
-Names are reduced to their distinct values first; each step joins one dictionary. Dictionaries are data frames; Spark
-broadcasts the ones whose size allows. No step drops rows, so main and quarantine together are the input.
+Every exact step only says which names to look up, in which order: all candidates of all steps go through one join with
+the dictionary of identifiers, and the first found by rank wins. Approximate look-ups run for the names still open. The
+dictionaries (answers of outer services) are data frames; Spark broadcasts the ones whose size allows. No step drops rows,
+so main and quarantine together are the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,22 +18,15 @@ from vigilake.functions import lexicons as X
 from vigilake.functions.names import any_pattern, similar, without_noise, words
 
 
-@dataclass(frozen=True)
-class Dictionary:
-    """One dictionary (name, rxcui), as told apart by the label its hits get."""
-
-    label: str
-    table: DataFrame
-
-
 def unique_names(table: DataFrame, name: str = "name", identifier: str = "rxcui") -> DataFrame:
-    """A build side with one row per case-folded name, the smallest identifier, so that joins add no rows."""
-    return table.filter(F.col(name).isNotNull() & F.col(identifier).isNotNull()).groupBy(F.lower(F.trim(F.col(name))).alias("_name")).agg(F.min(identifier).alias("_hit"))
+    """(_name, _hit, _as): one row per case-folded name, its smallest identifier and a spelling, so that joins add no rows."""
+    kept = table.filter(F.col(name).isNotNull() & F.col(identifier).isNotNull())
+    return kept.groupBy(F.lower(F.trim(F.col(name))).alias("_name")).agg(F.min(identifier).alias("_hit"), F.min(name).alias("_as"))
 
 
 def by_name(df: DataFrame, key: Column, table: DataFrame) -> DataFrame:
     """Adds ``_hit``: the identifier whose name equals ``key``, case ignored."""
-    return df.withColumn("_name", F.lower(F.trim(key))).join(unique_names(table), "_name", "left").drop("_name")
+    return df.withColumn("_name", F.lower(F.trim(key))).join(unique_names(table), "_name", "left").drop("_name", "_as")
 
 
 def by_list(df: DataFrame, names: str, table: DataFrame, key: str) -> DataFrame:
@@ -49,59 +44,109 @@ def _letters(c: Column) -> Column:
     return F.array(bits(0), bits(1))
 
 
-def nearest(df: DataFrame, key: str, name: str, table: DataFrame, least: float = 0.7, letters: int = 1) -> DataFrame:
-    """Adds ``_hit``: the identifier of the most similar name. Candidates of a name of one word share its first
-    ``letters`` letters; those of a longer name may begin with any. Only pairs that can't reach the ratio are left out
-    before it runs: it implies that the lengths differ by no more than 30 % of their mean, and how many letters are
-    common to both, counted by bits, which never count a common letter as missing."""
+def _trigrams(c: Column) -> Column:
+    """The distinct trigrams of a text with two blanks before and one after it."""
+    padded = F.concat(F.lit("  "), c, F.lit(" "))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda i: F.substr(padded, i, F.lit(3))))
+
+
+def nearest(df: DataFrame, key: str, name: str, table: DataFrame, least: float = 0.7, share: float = 0.2, letters: int = 1) -> DataFrame:
+    """Adds ``_hit`` and ``_as``: identifier and spelling of the most similar name, of a ratio of ``least`` or more.
+
+    Candidates share at least ``share`` of the name's trigrams; so at least one of all but the most common of them that the
+    share leaves, which makes the join's keys rare ones. A name of one word also shares its first ``letters`` letters. Before
+    the ratio runs, pairs are left out that can't reach it: it implies that the lengths differ by no more than 30 % of their
+    mean, and how many letters are common to both, counted by bits, which never count a common letter as missing."""
     low = F.lower(F.trim(F.col(name)))
-    left = df.filter(low != "").select(key, low.alias("_a")).withColumns({"_ma": _letters(F.col("_a")), "_la": F.length("_a")})
-    right = unique_names(table).filter(F.col("_name") != "").withColumns({"_mb": _letters(F.col("_name")), "_lb": F.length("_name")})
+    left = df.filter(low != "").select(key, low.alias("_a")).withColumns({"_ma": _letters(F.col("_a")), "_la": F.length("_a"), "_ga": _trigrams(F.col("_a"))})
+    right = unique_names(table).filter(F.col("_name") != "").withColumns({"_mb": _letters(F.col("_name")), "_lb": F.length("_name"), "_gb": _trigrams(F.col("_name"))})
+    listed = right.select("_name", F.explode("_gb").alias("_g"))
+    common = listed.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    asked = left.select("_a", F.explode("_ga").alias("_g")).distinct().join(common, "_g")  # a trigram of no name leads to none
+    ranked = asked.groupBy("_a").agg(F.array_sort(F.collect_list(F.struct("_n", "_g"))).alias("_r"))
+    least_shared = F.ceil(F.size("_ga") * share)
+    ranked = left.select("_a", "_ga").distinct().join(ranked, "_a").filter(F.size("_r") >= least_shared)
+    rare = F.slice(F.transform("_r", lambda x: x["_g"]), F.lit(1), (F.size("_r") - least_shared + 1).cast("int"))
+    pairs = ranked.select("_a", F.explode(rare).alias("_g")).join(listed, "_g").select("_a", "_name").distinct()
+    near = left.join(pairs, "_a").join(right, "_name").filter(F.size(F.array_intersect("_ga", "_gb")) >= F.ceil(F.size("_ga") * share))
     one_word = F.size(words(F.col("_a"))) == 1
-    first = lambda c: F.left(c, F.lit(letters))
-    near = left.filter(one_word).withColumn("_b", first(F.col("_a"))).join(right.withColumn("_b", first(F.col("_name"))), "_b").drop("_b")
-    least_length, most_length = (F.lit(x) * F.col("_la") for x in (least / (2 - least), (2 - least) / least))
-    lengths = F.sequence(F.greatest(F.lit(1), F.floor(least_length).cast("int")), F.ceil(most_length).cast("int"))
-    near = near.unionByName(left.filter(~one_word).withColumn("_lb", F.explode(lengths)).join(right, "_lb").select(near.columns))
-    common = least * (F.col("_la") + F.col("_lb")) / 2 - 1e-6  # letters that the ratio asks for
+    needed = least * (F.col("_la") + F.col("_lb")) / 2 - 1e-6  # letters that the ratio asks for
     lacking = lambda m, n: sum((F.bit_count(F.col(m)[k].bitwiseAND(F.bitwise_not(F.col(n)[k]))) for k in (0, 1)), F.lit(0))
-    near = near.filter((F.least("_la", "_lb") >= common) & (F.col("_la") - lacking("_ma", "_mb") >= common) & (F.col("_lb") - lacking("_mb", "_ma") >= common))
-    scored = near.select(key, "_hit", "_name", similar(F.col("_a"), F.col("_name")).alias("_r")).filter(F.col("_r") >= least)
-    hits = scored.groupBy(key).agg(F.min_by("_hit", F.struct(-F.col("_r"), "_name")).alias("_hit"))
+    near = near.filter((F.least("_la", "_lb") >= needed) & (F.col("_la") - lacking("_ma", "_mb") >= needed) & (F.col("_lb") - lacking("_mb", "_ma") >= needed))
+    near = near.filter(~one_word | (F.left("_a", F.lit(letters)) == F.left("_name", F.lit(letters))))
+    scored = near.select(key, "_hit", "_as", "_name", similar(F.col("_a"), F.col("_name")).alias("_r")).filter(F.col("_r") >= least)
+    hits = scored.groupBy(key).agg(F.min_by(F.struct("_hit", "_as"), F.struct(-F.col("_r"), "_name")).alias("_h")).select(key, "_h._hit", "_h._as")
     return df.join(hits, key, "left")
 
 
-def cascade(names: DataFrame, exact: DataFrame, synonyms: DataFrame | None = None, brands: DataFrame | None = None, approximate: DataFrame | None = None, skip: Iterable[str] = X.NO_DRUGS) -> DataFrame:
-    """names: (basename unique, ingredients) -> with rxcui, source, lookup_hit.
+def _titles(table: DataFrame, *also: str) -> DataFrame:
+    """(_name, title, also...): one row per case-folded name, the smallest."""
+    row = F.min(F.struct("title", *also)).alias("_t")
+    return table.filter(F.col("name").isNotNull() & F.col("title").isNotNull()).groupBy(F.lower(F.trim("name")).alias("_name")).agg(row).select("_name", "_t.*")
+
+
+def cascade(
+    names: DataFrame, exact: DataFrame, synonyms: DataFrame | None = None, brands: DataFrame | None = None, approximate: DataFrame | None = None, kegg: DataFrame | None = None, skip: Iterable[str] = X.NO_DRUGS, noise: Iterable[str] = X.NOISE
+) -> DataFrame:
+    """names: (basename unique, ingredients) -> with rxcui, lookup_hit, source.
 
-    synonyms and brands: (name, title): a synonym's title is looked up again. The steps, in order: exact base name, exact
-    ingredient, synonym's title, base name without noise words, brand's title, approximate name.
+    exact, approximate: (name, rxcui); synonyms, brands: (name, title), a title is looked up again; kegg: (name, kegg_id,
+    title), the title being the international name. The steps, in order: base name; each ingredient; titles of the
+    synonyms of base name and ingredients; base name without noise words; titles of brands that the base name or, if it
+    has several, one of its words of four letters or more is, or the title's first word; nearest name; international
+    name of base names of five letters or more, exact, then nearest. Names of the skip list aren't looked up.
     """
     skipped = F.coalesce(_any_word(F.col("basename"), skip), F.lit(False))
-    df = names.withColumn("_skip", skipped).withColumn("_steps", F.array().cast("array<struct<rxcui:string,source:string,lookup_hit:string>>"))
-
-    def note(df: DataFrame, source: str, hit: Column) -> DataFrame:
-        found = F.struct(F.col("_hit").cast("string").alias("rxcui"), F.lit(source).alias("source"), hit.cast("string").alias("lookup_hit"))
-        return df.withColumn("_steps", F.when(F.col("_hit").isNotNull(), F.array_append("_steps", found)).otherwise(F.col("_steps"))).drop("_hit")
-
-    df = note(by_name(df, F.col("basename"), exact), "exact_basename", F.lit("basename"))
-    df = note(by_list(df, "ingredients", exact, "basename"), "exact_ingredients", F.lit("ingredients"))
-    for source, titles in (("synonym", synonyms), ("brand", brands)):
-        if source == "brand":
-            bare = without_noise(F.col("basename"))
-            df = df.withColumn("_bare", F.when((bare != "") & (bare != F.upper("basename")), bare))
-            df = note(by_name(df, F.col("_bare"), exact), "suffix_strip", F.concat(F.lit("suffix_strip:"), "_bare")).drop("_bare")
-        if titles is not None:
-            title = titles.groupBy(F.lower(F.trim("name")).alias("_name")).agg(F.min("title").alias("_title"))
-            df = df.withColumn("_name", F.lower(F.trim("basename"))).join(title, "_name", "left").drop("_name")
-            df = note(by_name(df, F.col("_title"), exact), source, F.col("_title")).drop("_title")
+    own = names.select("basename", F.coalesce("ingredients", F.array().cast("array<string>")).alias("ingredients")).filter(F.col("basename").isNotNull() & ~skipped)
+
+    def candidates(df: DataFrame, rank: Column, name: Column, hit: Column, source: str) -> DataFrame:
+        return df.select("basename", rank.cast("int").alias("_rank"), F.lower(F.trim(name)).alias("_name"), hit.alias("lookup_hit"), F.lit(source).alias("source"))
+
+    each = own.select("basename", F.posexplode("ingredients").alias("_at", "_n"))
+    bare = without_noise(F.col("basename"), noise)
+    parts = [
+        candidates(own, F.lit(0), F.col("basename"), F.lit("basename"), "rxnav_basename"),
+        candidates(each, 10_000 + F.col("_at"), F.col("_n"), F.lit("ingredients"), "rxnav_ingredients"),
+        candidates(own.filter((bare != "") & (bare != F.upper("basename"))), F.lit(30_000), bare, F.concat(F.lit("suffix_strip:"), bare), "suffix_strip"),
+    ]
+
+    def titled(df: DataFrame, table: DataFrame) -> DataFrame:
+        return df.select("basename", "_at", F.lower(F.trim("_n")).alias("_name")).join(_titles(table), "_name")
+
+    title = F.col("title")
+    if synonyms is not None:
+        found = titled(own.select("basename", F.posexplode(F.concat(F.array("basename"), "ingredients")).alias("_at", "_n")), synonyms)
+        parts.append(candidates(found, 20_000 + F.col("_at"), title, title, "local_cid_fallback"))
+    if brands is not None:
+        several = words(F.col("basename"))
+        tried = F.concat(F.array("basename"), F.when(F.size(several) > 1, F.filter(several, lambda w: F.length(w) >= 4)).otherwise(F.array().cast("array<string>")))
+        found = titled(own.select("basename", F.posexplode(tried).alias("_at", "_n")), brands)
+        parts.append(candidates(found, 40_000 + 2 * F.col("_at"), title, title, "chembl_brand"))
+        parts.append(candidates(found, 40_001 + 2 * F.col("_at"), F.get(words(title), F.lit(0)), title, "chembl_brand"))
+    known = unique_names(exact).select("_name", F.col("_hit").cast("string").alias("rxcui"))
+    first = lambda df: df.groupBy("basename").agg(F.min_by(F.struct("rxcui", "lookup_hit", "source"), "_rank").alias("_h")).select("basename", "_h.*")
+    hits = first(reduce(DataFrame.unionByName, parts).filter(F.col("_name") != "").join(known, "_name"))
     if approximate is not None:
-        open_names = df.filter((F.size("_steps") == 0) & ~F.col("_skip"))
-        hits = nearest(open_names.select("basename"), "basename", "basename", approximate).filter(F.col("_hit").isNotNull())
-        df = note(df.join(hits, "basename", "left"), "approx_match", F.concat(F.lit("approx:"), "basename"))
-    first = F.get("_steps", F.lit(0))
-    out = [F.when(~F.col("_skip"), first[c]).alias(c) for c in ("rxcui", "lookup_hit")]
-    return df.select(*names.columns, *out, F.when(F.col("_skip"), "skipped_non_drug").otherwise(first["source"]).alias("source"))
+        still = own.join(hits, "basename", "left_anti").select("basename")
+        near = nearest(still, "basename", "basename", approximate).filter(F.col("_hit").isNotNull())
+        hits = hits.unionByName(near.select("basename", F.col("_hit").cast("string").alias("rxcui"), F.concat(F.lit("approx:"), "_as").alias("lookup_hit"), F.lit("approx_match").alias("source")))
+    if kegg is not None:
+        still = own.join(hits, "basename", "left_anti").filter(F.length(F.trim("basename")) >= 5)
+        found = still.select("basename", F.lower(F.trim("basename")).alias("_name")).join(_titles(kegg, "kegg_id"), "_name").drop("_name")
+        hit = F.concat_ws(":", F.lit("kegg"), "kegg_id", "title")
+        inns = candidates(found, F.lit(0), title, hit, "kegg_inn").join(known, "_name").drop("_name")
+        if approximate is not None:
+            near = nearest(found.join(inns, "basename", "left_anti"), "basename", "title", approximate).filter(F.col("_hit").isNotNull())
+            inns = inns.unionByName(near.select("basename", F.lit(1).alias("_rank"), hit.alias("lookup_hit"), F.lit("kegg_inn").alias("source"), F.col("_hit").cast("string").alias("rxcui")))
+        hits = hits.unionByName(first(inns))
+    out = names.join(hits, "basename", "left")
+    return out.select(*names.columns, "rxcui", F.coalesce("lookup_hit", F.lit("not_found")).alias("lookup_hit"), F.when(skipped, "skipped_non_drug").otherwise(F.coalesce("source", F.lit("not_found"))).alias("source"))
+
+
+def ingredient_source(source: Column, rxcui: Column, lookup_hit: Column) -> Column:
+    """Where a product's ingredients come from: as said, else by how its identifier was found; null without one."""
+    found = F.when(rxcui.isNull(), None).when(lookup_hit == "basename", "rxnav_basename").when(lookup_hit == "ingredients", "rxnav_ingredients").otherwise("rxnorm_enriched")
+    return F.coalesce(source, found)
 
 
 def _any_word(c: Column, words: Iterable[str]) -> Column:

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigilake.functions.values import count_percent, percent
+from vigilake.functions import lexicons as X
+from vigilake.functions.values import count_percent, distinct_list, percent
 from vigilake.runtime import cut
 
 
@@ -132,16 +133,26 @@ def select_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select([n for n in names if n in df.columns])
 
 
-def hierarchy(concepts: DataFrame, relations: DataFrame, levels: Sequence[str]) -> DataFrame:
-    """Paths from the lowest level up: concepts (concept_id, concept_name, concept_class), relations (from_id, to_id).
+def hierarchy(concepts: DataFrame, relations: DataFrame, levels: Sequence[str], excluded: Sequence[str] = X.EXCLUDED_CLASSES) -> DataFrame:
+    """Paths from the lowest level up: concepts (concept_id, concept_code, concept_name, concept_class), relations (from_id,
+    to_id). Paths that end in one of the excluded names of the highest level are left out.
 
     Edges are told apart by the classes of their ends only. Each level is one left join; the tables are vocabularies,
     and Spark broadcasts them where their size allows.
     """
-    of = lambda lv, p: concepts.filter(F.col("concept_class") == lv).select(F.col("concept_id").alias(f"{p}_id"), F.col("concept_name").alias(f"{p}_name"))
+    parts = ("id", "code", "name")
+    of = lambda lv, p: concepts.filter(F.col("concept_class") == lv).select(*(F.col(f"concept_{x}").alias(f"{p}_{x}") for x in parts))
     out = of(levels[0], levels[0].lower())
     for low, high in zip(levels, levels[1:]):
         lo, hi = low.lower(), high.lower()
-        edges = relations.join(of(low, lo).select(f"{lo}_id"), relations.from_id == F.col(f"{lo}_id")).join(of(high, hi), relations.to_id == F.col(f"{hi}_id")).select(f"{lo}_id", f"{hi}_id", f"{hi}_name").distinct()
+        edges = relations.join(of(low, lo).select(f"{lo}_id"), relations.from_id == F.col(f"{lo}_id")).join(of(high, hi), relations.to_id == F.col(f"{hi}_id")).select(f"{lo}_id", *(f"{hi}_{x}" for x in parts)).distinct()
         out = out.join(edges, f"{lo}_id", "left")
-    return out
+    top = F.col(f"{levels[-1].lower()}_name")
+    return out.filter(top.isNull() | ~top.isin(*excluded)).select(*(f"{lv.lower()}_{x}" for lv in levels for x in parts))
+
+
+def hierarchy_lists(paths: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """One row per concept of the lowest level, with the sorted distinct ids, codes and names of each level above."""
+    parts, low = ("id", "code", "name"), levels[0].lower()
+    lists = [distinct_list(F.collect_set(f"{lv.lower()}_{x}")).alias(f"{lv.lower()}_{x}s") for lv in levels[1:] for x in parts]
+    return paths.groupBy(*(f"{low}_{x}" for x in parts)).agg(*lists)

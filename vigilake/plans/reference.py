@@ -179,26 +179,36 @@ def r14_title_match(fact, dictionary):
     return P.mapped_terms(fact, dictionary)
 
 
-def _concepts(region: DataFrame, nation: DataFrame, supplier: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Suppliers, nations and regions as a vocabulary of three classes with edges from child to parent."""
-    of = lambda df, k, n, c, base: df.select((F.col(k).cast("bigint") + base).alias("concept_id"), F.col(n).alias("concept_name"), F.lit(c).alias("concept_class"))
-    concepts = of(supplier, "s_suppkey", "s_name", "S", 1_000_000).unionByName(of(nation, "n_nationkey", "n_name", "N", 1000)).unionByName(of(region, "r_regionkey", "r_name", "R", 0))
-    up = supplier.select((F.col("s_suppkey") + 1_000_000).alias("from_id"), (F.col("s_nationkey").cast("bigint") + 1000).alias("to_id"))
-    return concepts, up.unionByName(nation.select((F.col("n_nationkey").cast("bigint") + 1000).alias("from_id"), F.col("n_regionkey").cast("bigint").alias("to_id")))
+# A vocabulary of four classes with several parents: orders, their suppliers, nations, regions.
+LEVELS = ("PT", "HLT", "HLGT", "SOC")
+_LEVEL_TABLES = {"PT": ("orders", "o_orderkey", "o_orderpriority", 100_000_000), "HLT": ("supplier", "s_suppkey", "s_name", 1_000_000), "HLGT": ("nation", "n_nationkey", "n_name", 1000), "SOC": ("region", "r_regionkey", "r_name", 0)}
 
 
-_PATHS = "select s_suppkey + 1000000 s_id, s_name, cast(n_nationkey as bigint) + 1000 n_id, n_name, cast(r_regionkey as bigint) r_id, r_name from supplier left join nation on s_nationkey = n_nationkey left join region on n_regionkey = r_regionkey where r_name not in ('AFRICA')"
+def _concepts(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    code = lambda k, level: (F.col(k).cast("bigint") + _LEVEL_TABLES[level][3])
+    concepts = [tables[t].select(code(k, v).alias("concept_id"), F.concat(F.lit(v[0]), F.col(k).cast("string")).alias("concept_code"), F.col(n).alias("concept_name"), F.lit(v).alias("concept_class")) for v, (t, k, n, _) in _LEVEL_TABLES.items()]
+    edge = lambda t, a, x, b, y: tables[t].select(code(a, x).alias("from_id"), code(b, y).alias("to_id"))
+    edges = [edge("lineitem", "l_orderkey", "PT", "l_suppkey", "HLT"), edge("supplier", "s_suppkey", "HLT", "s_nationkey", "HLGT"), edge("nation", "n_nationkey", "HLGT", "n_regionkey", "SOC")]
+    return R.union_all(concepts), R.union_all(edges)
 
 
-@query(_PATHS, "region", "nation", "supplier")
-def r15_hierarchy_paths(region, nation, supplier):
-    return R.hierarchy(*_concepts(region, nation, supplier), ["S", "N", "R"]).filter(~F.col("r_name").isin("AFRICA"))
+def _of(level: str) -> str:
+    _, k, n, base = _LEVEL_TABLES[level]
+    return f"cast({k} as bigint) + {base} {level.lower()}_id, '{level[0]}' || {k} {level.lower()}_code, {n} {level.lower()}_name"
 
 
-@query(f"select r_name, {_SORTED('n_name')} nations, {_SORTED('n_id')} nation_ids, count(distinct s_id) n_leaves from ({_PATHS}) group by 1", "region", "nation", "supplier")
-def r16_hierarchy_lists(region, nation, supplier):
-    paths = R.hierarchy(*_concepts(region, nation, supplier), ["S", "N", "R"]).filter(~F.col("r_name").isin("AFRICA"))
-    return paths.groupBy("r_name").agg(F.array_sort(F.collect_set("n_name")).alias("nations"), F.array_sort(F.collect_set("n_id")).alias("nation_ids"), F.count_distinct("s_id").alias("n_leaves"))
+_PATHS = f"select {', '.join(map(_of, LEVELS))} from orders left join (select distinct l_orderkey, l_suppkey from lineitem) on o_orderkey = l_orderkey left join supplier on l_suppkey = s_suppkey left join nation on s_nationkey = n_nationkey left join region on n_regionkey = r_regionkey"
+_FOUR = ("region", "nation", "supplier", "orders", "lineitem")
+
+
+@query(f"select * from ({_PATHS}) where soc_name is null or soc_name not in ('AFRICA')", *_FOUR)
+def r15_hierarchy_paths(*tables):
+    return R.hierarchy(*_concepts(dict(zip(_FOUR, tables))), LEVELS, excluded=("AFRICA",))
+
+
+@query(f"select pt_id, pt_code, pt_name, {', '.join(_SORTED(f'{v.lower()}_{x}') + f' {v.lower()}_{x}s' for v in LEVELS[1:] for x in ('id', 'code', 'name'))} from ({_PATHS}) where soc_name is null or soc_name not in ('AFRICA') group by 1, 2, 3", *_FOUR)
+def r16_hierarchy_lists(*tables):
+    return R.hierarchy_lists(R.hierarchy(*_concepts(dict(zip(_FOUR, tables))), LEVELS, excluded=("AFRICA",)), LEVELS)
 
 
 # --- products and names --------------------------------------------------------------------------------------------
@@ -293,12 +303,9 @@ _KEPT = f"""receive_date between date '2004-01-01' and date '2025-12-31' and rxc
     count(*) over (partition by safetyreportid, medicinal_product, reaction_meddrapt) n_rows
   from (select *, case when drug_characterization like 'Suspect%' then 0 when drug_characterization like 'Interacting%' then 1 when drug_characterization like 'Concomitant%' then 2 else 3 end priority from adult_fact where {_KEPT})) where o = 1""", FACT)
 def r35_fact_rows(fact):
-    kept = P.facts(fact).select("safetyreportid", "medicinal_product", "reaction_meddrapt", "load_ts", "drug_characterization")
-    priority = F.when(F.col("drug_characterization").startswith("Suspect"), 0).when(F.col("drug_characterization").startswith("Interacting"), 1).when(F.col("drug_characterization").startswith("Concomitant"), 2).otherwise(3)
-    qualified = (F.size("ingredient") > 0) | (F.size("faers_ingredients") > 0)
-    n = fact.filter(F.col("receive_date").between("2004-01-01", "2025-12-31") & F.col("rxcui").isNotNull() & F.col("medicinal_product").isNotNull() & qualified & ~F.col("reporter_qualification").isin(*X.EXCLUDED_REPORTERS))
-    n = n.groupBy(*P.FACT_KEYS).agg(F.count(F.lit(1)).alias("n_rows"))
-    return kept.withColumn("priority", priority).drop("drug_characterization").join(n, list(P.FACT_KEYS))
+    kept = P.fact_filter(fact).withColumn("priority", P.priority(F.col("drug_characterization")))
+    rows = kept.groupBy(*P.FACT_KEYS).agg(F.min(F.struct("priority", "load_ts")).alias("_r"), F.count(F.lit(1)).alias("n_rows"))
+    return rows.select(*P.FACT_KEYS, "n_rows", "_r.load_ts", "_r.priority")
 
 
 @query("select rxcui, list_extract(list(ingredient order by medicinal_product, mapping_method, array_to_string(ingredient, '|')), 1) ingredient, min(medicinal_product) medicinal_product, list_extract(list(mapping_method order by medicinal_product, mapping_method), 1) mapping_method from adult_fact where rxcui is not null group by 1", FACT)
@@ -307,7 +314,7 @@ def r36_drug_dimension(fact):
 
 
 _FIRST_REACTION = lambda key: f"""select safetyreportid, reaction_meddrapt, reaction_outcome, meddra_concept_id, meddra_concept_code, meddra_soc_names, meddra_soc_codes from (
-  select *, row_number() over (partition by safetyreportid, {key} order by reaction_meddrapt, coalesce(reaction_outcome, '~')) o from adult_fact where meddra_concept_id is not null) where o = 1"""
+  select *, row_number() over (partition by safetyreportid, {key} order by reaction_meddrapt, reaction_outcome nulls last) o from adult_fact where meddra_concept_id is not null) where o = 1"""
 
 
 @query(_FIRST_REACTION("reaction_meddrapt"), FACT)
@@ -320,6 +327,33 @@ def r38_standard_reactions(fact):
     return P.reaction_dimension(fact, "meddra_concept_id")
 
 
+_LOOKUP = """select medicinal_product, rxcui, coalesce(rxnorm_ingredients, []) ingredient, lookup_hit mapping_method, coalesce(ingredients, []) faers_ingredients, len(coalesce(rxnorm_ingredients, [])) ingredient_count,
+  len(coalesce(ingredients, [])) faers_ingredient_count, len(coalesce(rxnorm_ingredients, [])) > 1 or len(coalesce(ingredients, [])) > 1 is_combination_product
+  from (select *, row_number() over (partition by medicinal_product order by rxcui) o from adult_drugs_enriched where medicinal_product is not null and rxcui is not null and (len(rxnorm_ingredients) > 0 or len(ingredients) > 0)) where o = 1"""
+_MERGED = f"""select e.safetyreportid, cohort, e.medicinal_product, {_TITLE('trim(e.reaction_meddrapt)')} reaction_meddrapt, rxcui, ingredient, mapping_method, faers_ingredients, ingredient_count, faers_ingredient_count, is_combination_product, meddra_concept_id, meddra_concept_code, meddra_soc_names, meddra_soc_codes
+from ({_EVENTS}) e join ({_LOOKUP}) l on e.medicinal_product = l.medicinal_product join pt_soc_dictionary d on {_TITLE('trim(e.reaction_meddrapt)')} = {_TITLE('meddra_concept_name')}"""
+
+
+@query(_MERGED, "report", "patient", DRUG, "reactions", LIST, "pt_soc_dictionary")
+def r73_fact_merge(report, patient, drug, reaction, listed, dictionary):
+    """Events of both cohorts, the product look-up and the term dictionary, from the landed tables."""
+    events = P.events(P.reports(report), P.patients(patient), P.drug_lines(drug), P.reaction_lines(reaction))
+    rows = P.merged(events, P.product_lookup(listed), dictionary)
+    return rows.select("safetyreportid", "cohort", "medicinal_product", "reaction_meddrapt", *P.LOOKUP, "meddra_concept_id", "meddra_concept_code", "meddra_soc_names", "meddra_soc_codes")
+
+
+_ABOUT = f"select safetyreportid, max(serious) serious, max(death) death, min(reporter_country) reporter_country, min(reporter_qualification) reporter_qualification from adult_fact group by 1 having min(reporter_qualification) not in {_list(X.EXCLUDED_REPORTERS)}"
+
+
+@query(f"select e.*, serious, death, reporter_country, reporter_qualification from ({_EVENTS}) e join ({_ABOUT}) a on e.safetyreportid = a.safetyreportid", "report", "patient", DRUG, "reactions", FACT)
+def r74_six_way_join(report, patient, drug, reaction, fact):
+    """Seriousness and reporter as tables of their own, as the landed report has neither."""
+    by = fact.groupBy("safetyreportid")
+    seriousness = by.agg(F.max("serious").alias("serious"), F.max("death").alias("death"))
+    reporter = by.agg(F.min("reporter_country").alias("reporter_country"), F.min("reporter_qualification").alias("reporter_qualification"))
+    return P.events(P.reports(report), P.patients(patient), P.drug_lines(drug), P.reaction_lines(reaction), seriousness=seriousness, reporter=reporter)
+
+
 # --- tables and top lists ------------------------------------------------------------------------------------------
 @query("""with c as (select unnest(['Male', 'Female', 'Other']) patient_sex), n as (select patient_sex, count(distinct safetyreportid) n from adult_fact group by 1)
 select c.patient_sex, coalesce(n, 0) n, format('{:,} ({:.1f}%)', coalesce(n, 0), round(100.0 * coalesce(n, 0) / (select count(distinct safetyreportid) from adult_fact), 1)) as text from c left join n on c.patient_sex = n.patient_sex""", FACT)
@@ -340,10 +374,11 @@ def r41_one_or_several(fact):
 
 @query("select 0 ord, 'reports' section, count(distinct safetyreportid) n from adult_fact union all select 1, 'products', count(distinct medicinal_product) from adult_fact union all select 2, 'serious', count(distinct safetyreportid) from adult_fact where serious = 1 union all select 3, 'not serious', count(distinct safetyreportid) from adult_fact where serious = 0", FACT)
 def r42_totals(fact):
-    n = F.count_distinct("safetyreportid").alias("n")
-    parts = (fact.agg(n), fact.agg(F.count_distinct("medicinal_product").alias("n")), fact.filter("serious = 1").agg(n), fact.filter("serious = 0").agg(n))
-    names = ("reports", "products", "serious", "not serious")
-    return R.union_all([p.select(F.lit(i).alias("ord"), F.lit(name).alias("section"), "n") for i, (p, name) in enumerate(zip(parts, names))])
+    """One scan: an explode gives each row's sections, a distinct per section and key lets repeats go before the shuffle."""
+    who = F.col("safetyreportid")
+    sections = [(0, "reports", who), (1, "products", F.col("medicinal_product")), (2, "serious", F.when(F.col("serious") == 1, who)), (3, "not serious", F.when(F.col("serious") == 0, who))]
+    rows = F.explode(F.array(*(F.struct(F.lit(i).alias("ord"), F.lit(name).alias("section"), c.alias("k")) for i, name, c in sections))).alias("x")
+    return fact.select(rows).select("x.*").groupBy("ord", "section").agg(F.count_distinct("k").alias("n"))
 
 
 @query("select patient_sex, medicinal_product, n, rank from (select patient_sex, medicinal_product, n, cast(row_number() over (partition by patient_sex order by n desc, medicinal_product) as integer) rank from (select patient_sex, medicinal_product, count(*) n from adult_fact where medicinal_product is not null group by 1, 2)) where rank <= 10", FACT)
@@ -351,13 +386,18 @@ def r43_top_by_group(fact):
     return R.top(fact, ["patient_sex"], "medicinal_product", 10)
 
 
+def _counts_by_sex(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(reaction_meddrapt, n) for either sex, of the reactions it has, from one aggregation."""
+    both = fact.filter(F.col("patient_sex").isin("Male", "Female")).groupBy("reaction_meddrapt", "patient_sex").agg(F.count_distinct("safetyreportid").alias("n"))
+    return tuple(both.filter(F.col("patient_sex") == s).drop("patient_sex") for s in ("Male", "Female"))
+
+
 _BY = lambda s: f"select reaction_meddrapt, count(distinct safetyreportid) n from adult_fact where patient_sex = '{s}' group by 1"
 
 
 @query(f"select a.reaction_meddrapt, a.n n_a, b.n n_b, least(a.n, b.n) n_min from ({_BY('Male')}) a join ({_BY('Female')}) b on a.reaction_meddrapt = b.reaction_meddrapt order by n_min desc, 1 limit 10", FACT)
 def r44_top_common(fact):
-    by = lambda s: fact.filter(F.col("patient_sex") == s).groupBy("reaction_meddrapt").agg(F.count_distinct("safetyreportid").alias("n"))
-    return R.top_common(by("Male"), by("Female"), "reaction_meddrapt", 10)
+    return R.top_common(*_counts_by_sex(fact), "reaction_meddrapt", 10)
 
 
 @query("""select medicinal_product, 'listed' kind from (select distinct medicinal_product from drugcharacteristics_extended where medicinal_product in (select medicinal_product from adult_drugs_enriched))
@@ -379,25 +419,67 @@ def r46_coverage_levels(fact):
 
 # --- record linkage ------------------------------------------------------------------------------------------------
 _LINK_NAMES = "select distinct upper(trim(medicinal_product)) basename from adult_fact where medicinal_product is not null"
+_WORDS = lambda c: f"list_filter(regexp_split_to_array({c}, '\\s+'), lambda w: w <> '')"
+_BARE = f"(select basename, list_filter({_WORDS('basename')}, lambda w: w not in {_list(X.NOISE)}) w from n)"
+_SKIPPED = " or ".join(f"contains(n.basename, '{w}')" for w in X.NO_DRUGS)
+_CASCADE = f"""
+with n as (select basename, list_filter([split_part(basename, ' ', 1), split_part(basename, ' ', 3)], lambda x: x <> '') ing from ({_LINK_NAMES})),
+d as (select lower(trim(basename)) k, min(rxcui) r from adult_drugs_enriched where basename is not null and rxcui is not null and rxcui_tty in ('IN', 'MIN') group by 1),
+sy as (select lower(trim(medicinal_product_norm)) k, min(basename) t from adult_drugs_enriched where medicinal_product_norm is not null and basename is not null group by 1),
+br as (select lower(trim(basename)) k, min(upper(array_to_string(ingredients, ' '))) t from adult_drugs_enriched where basename is not null and len(ingredients) > 0 and rxcui_tty = 'BN' group by 1),
+s3 as (select basename, i, t from (select basename, unnest(range(len(ing) + 1)) i, unnest([basename] || ing) x from n) join sy on k = lower(trim(x))),
+s4 as (select basename, array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: list_position(w, w[i]) = i), lambda i: w[i]), ' ') bare from {_BARE}),
+s5 as (select basename, i, t from (select basename, unnest(range(len(x))) i, unnest(x) x from (select basename, [basename] || case when len({_WORDS('basename')}) > 1 then list_filter({_WORDS('basename')}, lambda w: len(w) >= 4) else [] end x from n)) join br on k = lower(trim(x))),
+c as (
+  select basename, 0 rk, basename nm, 'basename' hit, 'rxnav_basename' src from n
+  union all select basename, 10000 + i, x, 'ingredients', 'rxnav_ingredients' from (select basename, unnest(range(len(ing))) i, unnest(ing) x from n)
+  union all select basename, 20000 + i, t, t, 'local_cid_fallback' from s3
+  union all select basename, 30000, bare, 'suffix_strip:' || bare, 'suffix_strip' from s4 where bare <> '' and bare <> upper(basename)
+  union all select basename, 40000 + 2 * i, t, t, 'chembl_brand' from s5
+  union all select basename, 40001 + 2 * i, {_WORDS('t')}[1], t, 'chembl_brand' from s5),
+f as (select basename, arg_min(d.r, rk) rxcui, arg_min(hit, rk) lookup_hit, arg_min(src, rk) source from c join d on d.k = lower(trim(nm)) where nm <> '' group by 1)
+select n.basename, case when not ({_SKIPPED}) then rxcui end rxcui, case when {_SKIPPED} then 'not_found' else coalesce(lookup_hit, 'not_found') end lookup_hit,
+  case when {_SKIPPED} then 'skipped_non_drug' else coalesce(source, 'not_found') end source
+from n left join f on f.basename = n.basename"""
+
+
+def _dictionaries(listed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Exact names of ingredients, synonyms, brands and a brand's international name, out of the product list."""
+    exact = listed.filter(F.col("rxcui_tty").isin("IN", "MIN")).select(F.col("basename").alias("name"), "rxcui")
+    brands = listed.filter((F.col("rxcui_tty") == "BN") & (F.size("ingredients") > 0)).select(F.col("basename").alias("name"), F.upper(F.array_join("ingredients", " ")).alias("title"), "rxcui")
+    return exact, listed.select(F.col("medicinal_product_norm").alias("name"), F.col("basename").alias("title")), brands.select("name", "title"), brands.select("name", F.concat(F.lit("D"), "rxcui").alias("kegg_id"), "title")
+
+
+def _link_names(fact: DataFrame) -> DataFrame:
+    names = fact.filter(F.col("medicinal_product").isNotNull()).select(F.upper(F.trim("medicinal_product")).alias("basename")).distinct()
+    parts = F.split("basename", " ")
+    return names.withColumn("ingredients", F.filter(F.array_compact(F.array(F.get(parts, F.lit(0)), F.get(parts, F.lit(2)))), lambda w: w != ""))
 
 
-@query(f"""with n as (select basename, list_filter([split_part(basename, ' ', 1), split_part(basename, ' ', 3)], lambda x: x <> '') ing from ({_LINK_NAMES})),
-d as (select lower(trim(basename)) k, min(rxcui) r from adult_drugs_enriched where basename is not null and rxcui is not null group by 1),
-i as (select basename, unnest(range(1, len(ing) + 1)) pos, ing from n), j as (select basename, pos, d.r from i join d on d.k = lower(ing[pos])), f as (select basename, arg_min(r, pos) r from j group by 1)
-select n.basename, coalesce(d.r, f.r) rxcui, case when d.r is not null then 'basename' when f.r is not null then 'ingredients' end lookup_hit, case when d.r is not null then 'exact_basename' when f.r is not null then 'exact_ingredients' end source
-from n left join d on d.k = lower(n.basename) left join f on f.basename = n.basename""", FACT, LIST)
+@query(_CASCADE, FACT, LIST)
 def r47_linkage_cascade(fact, listed):
-    names = fact.filter(F.col("medicinal_product").isNotNull()).select(F.upper(F.trim("medicinal_product")).alias("basename")).distinct()
-    parts = F.split("basename", " ")
-    names = names.withColumn("ingredients", F.filter(F.array_compact(F.array(F.get(parts, F.lit(0)), F.get(parts, F.lit(2)))), lambda w: w != ""))
-    exact = listed.select(F.col("basename").alias("name"), "rxcui")
-    return L.cascade(names, exact).select("basename", "rxcui", "lookup_hit", "source")
+    exact, synonyms, brands, _ = _dictionaries(listed)
+    return L.cascade(_link_names(fact), exact, synonyms, brands).select("basename", "rxcui", "lookup_hit", "source")
+
+
+@query(None, DRUG, LIST)
+def r71_approximate_steps(drug, listed):
+    """The steps that SQL has no function for: nearest names, and international names of brands."""
+    exact, _, _, kegg = _dictionaries(listed)
+    names = drug.select(N.strip_to_name(F.col("medicinal_product")).alias("basename")).filter(F.col("basename") != "").distinct().withColumn("ingredients", F.array().cast("array<string>"))
+    return L.cascade(names, exact, approximate=exact, kegg=kegg).select("basename", "rxcui", "lookup_hit", "source")
+
+
+@query("select medicinal_product, rxcui, coalesce(case when length(medicinal_product) % 2 = 0 then ing_source end, case when rxcui is null then null when lookup_hit = 'basename' then 'rxnav_basename' when lookup_hit = 'ingredients' then 'rxnav_ingredients' else 'rxnorm_enriched' end) src from adult_drugs_enriched", LIST)
+def r72_ingredient_source(listed):
+    known = F.when(F.length("medicinal_product") % 2 == 0, F.col("ing_source"))
+    return listed.select("medicinal_product", "rxcui", L.ingredient_source(known, F.col("rxcui"), F.col("lookup_hit")).alias("src"))
 
 
 @query(None, DRUG, LIST)
 def r48_nearest_name(drug, listed):
     plain = drug.select(N.strip_to_name(F.col("medicinal_product")).alias("basename")).filter(F.col("basename") != "").distinct()
-    return L.nearest(plain, "basename", "basename", listed.select(F.col("basename").alias("name"), "rxcui")).withColumnRenamed("_hit", "rxcui")
+    return L.nearest(plain, "basename", "basename", listed.select(F.col("basename").alias("name"), "rxcui")).withColumnsRenamed({"_hit": "rxcui", "_as": "name"})
 
 
 @query(None, DRUG)
@@ -449,8 +531,7 @@ def r56_output_summary(fact):
     return fact.agg(F.count(F.lit(1)).alias("n_rows"), V.n_unique(F.col("rxcui")).alias("n_unique_rxcui"), V.n_unique(F.col("reporter_company")).alias("n_unique_company"))
 
 
-_texts("part", "p_name", "quoted", "replace(p_name, ' ', '%20')", V.url_quoted, "r57_url_quote")
-SQL["r57_url_quote"] = "select p_name, replace(p_name, ' ', '%20') quoted from (select distinct p_name from part where regexp_full_match(p_name, '[A-Za-z0-9 ]+'))"
+_texts(DRUG, "medicinal_product", "quoted", "url_encode(medicinal_product)", V.url_quoted, "r57_url_quote")
 
 
 @query("select safetyreportid, case when list_contains(s, 'Fatal') and len(s) > 1 then 'partial' when list_contains(s, 'Fatal') then 'Fatal' when list_contains(s, 'Unknown') then 'Unknown' when list_contains(s, 'Recovered/resolved') then 'Recovered/resolved' end worst from (select safetyreportid, list(distinct reaction_outcome) s from adult_fact where reaction_outcome in ('Fatal', 'Unknown', 'Recovered/resolved') group by 1)", FACT)
@@ -477,10 +558,10 @@ def r61_substance_parts(drug):
     return out.withColumn("parts", N.substances(F.col("active_substance_name")))
 
 
-@query(f"select medicinal_product, n_products, case when upper(reporter_country) in ('US', 'USA') then 'US' when coalesce(reporter_country, '') = '' then 'Unknown' else 'Other' end place, case upper(patient_sex) when 'MALE' then 'Male' when 'FEMALE' then 'Female' else 'Unknown' end sex from (select reporter_country, patient_sex, min(medicinal_product) medicinal_product, count(distinct medicinal_product) n_products from adult_fact group by 1, 2)", FACT)
+@query(f"select medicinal_product, n_products, case when upper(reporter_country) in ('US', 'USA') then 'US' when coalesce(reporter_country, '') = '' then 'Unknown' else 'Other' end place, case upper(patient_sex) when 'MALE' then 'Male' when 'FEMALE' then 'Female' else 'Unknown' end sex, case upper(trim(reporter_qualification)) when 'PHYSICIAN' then 'Physician' when 'PHARMACIST' then 'Pharmacist' when 'OTHER HEALTH-PROFESSIONAL' then 'Other health professional' when 'OTHER HEALTH PROFESSIONAL' then 'Other health professional' when 'LAWYER' then 'Lawyer' when 'CONSUMER' then 'Consumer or non-health professional' when 'NON-HEALTH PROFESSIONAL' then 'Consumer or non-health professional' else coalesce(trim(reporter_qualification), 'Null/unknown') end qualification from (select reporter_country, reporter_qualification, patient_sex, min(medicinal_product) medicinal_product, count(distinct medicinal_product) n_products from adult_fact group by 1, 2, 3)", FACT)
 def r62_normalized_codes(fact):
-    out = fact.groupBy("reporter_country", "patient_sex").agg(F.min("medicinal_product").alias("medicinal_product"), F.count_distinct("medicinal_product").alias("n_products"))
-    return out.select("medicinal_product", "n_products", V.country(F.col("reporter_country")).alias("place"), V.sex(F.col("patient_sex")).alias("sex"))
+    out = fact.groupBy("reporter_country", "reporter_qualification", "patient_sex").agg(F.min("medicinal_product").alias("medicinal_product"), F.count_distinct("medicinal_product").alias("n_products"))
+    return out.select("medicinal_product", "n_products", V.country(F.col("reporter_country")).alias("place"), V.sex(F.col("patient_sex")).alias("sex"), V.qualification(F.col("reporter_qualification")).alias("qualification"))
 
 
 @query("select o_orderpriority, o_orderstatus, sum(l_quantity) quantity, count(*) n, count(distinct o_custkey) customers from orders join lineitem on o_orderkey = l_orderkey where l_shipdate >= timestamp '1996-01-01' and l_shipdate < timestamp '1997-01-01' group by 1, 2", "orders", "lineitem")
@@ -491,8 +572,12 @@ def r63_join_aggregate(orders, lineitem):
 
 @query(f"select coalesce(a.reaction_meddrapt, b.reaction_meddrapt) reaction_meddrapt, a.n n_a, b.n n_b from ({_BY('Male')}) a full join ({_BY('Female')}) b on a.reaction_meddrapt = b.reaction_meddrapt", FACT)
 def r64_outer_merge(fact):
-    by = lambda s, n: fact.filter(F.col("patient_sex") == s).groupBy("reaction_meddrapt").agg(F.count_distinct("safetyreportid").alias(n))
-    return by("Male", "n_a").join(by("Female", "n_b"), "reaction_meddrapt", "full")
+    """A full outer merge of two counts of one table is one aggregation; a null term has a row for either sex, as nulls don't join."""
+    kept = fact.filter(F.col("patient_sex").isin("Male", "Female")).withColumn("_s", F.when(F.col("reaction_meddrapt").isNull(), F.col("patient_sex")))
+    of = lambda s: F.nullif(F.count_distinct(F.when(F.col("patient_sex") == s, F.col("safetyreportid"))), F.lit(0))
+    rows = kept.groupBy("reaction_meddrapt", "_s").agg(of("Male").alias("n_a"), of("Female").alias("n_b"), F.collect_set("patient_sex").alias("_has"))
+    has = lambda s, c: F.when(F.array_contains("_has", s), F.coalesce(c, F.lit(0))).alias(c)
+    return rows.select("reaction_meddrapt", has("Male", "n_a"), has("Female", "n_b"))
 
 
 @query("""select medicinal_product, n from (select medicinal_product, count(*) n from adult_fact where rxcui is null and medicinal_product is not null group by 1

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions import lexicons as X
@@ -59,8 +60,9 @@ def reaction_lines(reactions: DataFrame) -> DataFrame:
     return kept.select("safetyreportid", "reaction_meddrapt", "reaction_outcome").distinct()
 
 
-def events(report: DataFrame, patient: DataFrame, drug: DataFrame, reaction: DataFrame, window: tuple[date, date] = WINDOW, cut: int = 21) -> DataFrame:
-    """Report x drug x reaction, of reports with a numeric id, a date in the window and an age, suspected drugs only.
+def events(report: DataFrame, patient: DataFrame, drug: DataFrame, reaction: DataFrame, window: tuple[date, date] = WINDOW, cut: int = 21, seriousness: DataFrame | None = None, reporter: DataFrame | None = None) -> DataFrame:
+    """Report x drug x reaction, of reports with a numeric id, a date in the window and an age, suspected drugs only; where
+    seriousness and reporter are given, joined with them, without the reporters that don't count.
 
     Filters stand before the joins; the joins share one partitioning, by report.
     """
@@ -70,7 +72,12 @@ def events(report: DataFrame, patient: DataFrame, drug: DataFrame, reaction: Dat
     age = F.col("patient_custom_master_age")
     aged = patient.filter((age >= 0) & (age <= 120)).select("safetyreportid", "patient_sex", age.try_cast("int").alias("age_years"), cohort(age, cut).alias("cohort"), age_band(age).alias("band"))
     suspected = drug.filter(F.col("drug_characterization").startswith("Suspect"))
-    return dated.join(aged, "safetyreportid").join(suspected, "safetyreportid").join(reaction, "safetyreportid")
+    about = [dated, aged]
+    if seriousness is not None:
+        about.append(seriousness)
+    if reporter is not None:
+        about.append(reporter.filter(~F.col("reporter_qualification").isin(*X.EXCLUDED_REPORTERS)))
+    return reduce(lambda a, b: a.join(b, "safetyreportid"), [*about, suspected, reaction])
 
 
 def adverse_reactions(events_: DataFrame) -> DataFrame:
@@ -114,38 +121,69 @@ def linked(products_: DataFrame, listed: DataFrame) -> DataFrame:
     out = L.related_ingredients(parts.join(hits, "basename", "left"), related)
     none = F.array().cast("array<string>")
     out = out.withColumn("ingredient", F.coalesce("rxnorm_ingredients", none)).withColumn("faers_ingredients", F.coalesce("ingredients", none)).drop("rxnorm_ingredients", "ingredients")
-    counts = {"ingredient_count": F.size("ingredient"), "faers_ingredient_count": F.size("faers_ingredients"), "is_combination_product": (F.size("ingredient") > 1) | (F.size("faers_ingredients") > 1)}
-    return out.withColumns(counts).withColumnRenamed("lookup_hit", "mapping_method")
+    return with_counts(out).withColumnRenamed("lookup_hit", "mapping_method")
+
+
+LOOKUP = ("rxcui", "mapping_method", "ingredient", "faers_ingredients", "ingredient_count", "faers_ingredient_count", "is_combination_product")
+
+
+def with_counts(df: DataFrame) -> DataFrame:
+    """How many ingredients either list has, and whether one has several."""
+    n, m = F.size("ingredient"), F.size("faers_ingredients")
+    return df.withColumns({"ingredient_count": n, "faers_ingredient_count": m, "is_combination_product": (n > 1) | (m > 1)})
+
+
+def product_lookup(listed: DataFrame) -> DataFrame:
+    """One row per product of the enriched list that is selected, has an identifier and an ingredient: the smallest
+    identifier. Where no selection was made, an identifier selects."""
+    own = F.coalesce(F.col("is_selected_case"), F.col("rxcui").isNotNull()) if "is_selected_case" in listed.columns else F.col("rxcui").isNotNull()
+    none = F.array().cast("array<string>")
+    rows = listed.filter((own == True) & F.col("medicinal_product").isNotNull() & F.col("rxcui").isNotNull())  # noqa: E712
+    rows = rows.select("medicinal_product", "rxcui", F.col("lookup_hit").alias("mapping_method"), F.coalesce("rxnorm_ingredients", none).alias("ingredient"), F.coalesce("ingredients", none).alias("faers_ingredients"))
+    rows = rows.filter((F.size("ingredient") > 0) | (F.size("faers_ingredients") > 0))
+    return with_counts(R.first_rows(rows, ["medicinal_product"], [F.col("rxcui")]))
+
+
+def merged(events_: DataFrame, lookup: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Events x products x dictionary, the term in title case."""
+    names = dictionary.filter(F.col("meddra_concept_id").isNotNull()).withColumn("reaction_meddrapt", title_case(F.col("meddra_concept_name"))).select("reaction_meddrapt", "meddra_concept_id", "meddra_concept_code", "meddra_soc_codes", "meddra_soc_names")
+    names = R.first_rows(names, ["reaction_meddrapt"], [F.col("meddra_concept_id")])
+    rows = events_.withColumn("reaction_meddrapt", title_case(strip(F.col("reaction_meddrapt"))))
+    return rows.join(lookup.select("medicinal_product", *LOOKUP), "medicinal_product").join(names, "reaction_meddrapt")
 
 
 def joined_facts(events_: DataFrame, products_: DataFrame, dictionary: DataFrame, about: DataFrame) -> DataFrame:
     """Events of all cohorts x linked products x dictionary, the term in title case. ``about``: rows with what the report
     table lacks, reporter and seriousness. A report without any keeps nulls there and a reporter of its own word: that
     none was landed is no reason to leave it out, as an unknown reporter is."""
-    drug = products_.select("medicinal_product", "rxcui", "mapping_method", "ingredient", "faers_ingredients", "ingredient_count", "faers_ingredient_count", "is_combination_product")
-    term = title_case(strip(F.col("reaction_meddrapt")))
-    names = dictionary.filter(F.col("meddra_concept_id").isNotNull()).withColumn("reaction_meddrapt", title_case(F.col("meddra_concept_name"))).select("reaction_meddrapt", "meddra_concept_id", "meddra_concept_code", "meddra_soc_codes", "meddra_soc_names")
-    names = R.first_rows(names, ["reaction_meddrapt"], [F.col("meddra_concept_id")])
     report = R.first_rows(about.select("safetyreportid", *ABOUT, "load_ts"), ["safetyreportid"], [F.col("load_ts")]).withColumn("_known", F.lit(True))
-    rows = events_.withColumn("reaction_meddrapt", term).join(drug, "medicinal_product").join(names, "reaction_meddrapt").join(report, "safetyreportid", "left")
+    rows = merged(events_, products_, dictionary).join(report, "safetyreportid", "left")
     return rows.withColumn("reporter_qualification", F.when(F.col("_known"), F.col("reporter_qualification")).otherwise("Not landed")).drop("_known")
 
 
-def facts(fact: DataFrame, window: tuple[date, date] = WINDOW) -> DataFrame:
-    """One row per report, product and reaction: suspected before interacting before concomitant; flags and seriousness
-    recoded; reporters that don't count, rows without product, id or ingredient, and dates out of the window left out."""
-    flags = ("congenital_anomali", "disabling", "life_threatening", "death", "other", "hospitalization")
-    kept = fact.filter(
+FLAGS = ("congenital_anomali", "disabling", "life_threatening", "death", "other", "hospitalization")
+
+
+def fact_filter(fact: DataFrame, window: tuple[date, date] = WINDOW) -> DataFrame:
+    """Without reporters that don't count, rows without product, id or ingredient, and dates out of the window."""
+    return fact.filter(
         F.col("receive_date").between(F.lit(window[0]), F.lit(window[1]))
         & F.col("rxcui").isNotNull()
         & F.col("medicinal_product").isNotNull()
         & ((F.size("ingredient") > 0) | (F.size("faers_ingredients") > 0))
         & ~F.col("reporter_qualification").isin(*X.EXCLUDED_REPORTERS)
     )
-    kept = kept.withColumn("serious", serious(F.col("serious"), *(F.col(c) for c in flags)))
-    kind = F.col("drug_characterization")
-    priority = F.when(kind.startswith("Suspect"), 0).when(kind.startswith("Interacting"), 1).when(kind.startswith("Concomitant"), 2).otherwise(3)
-    first = R.first_rows(kept, FACT_KEYS, [priority, F.col("load_ts")])
+
+
+def priority(kind: Column) -> Column:
+    """Suspected before interacting before concomitant."""
+    return F.when(kind.startswith("Suspect"), 0).when(kind.startswith("Interacting"), 1).when(kind.startswith("Concomitant"), 2).otherwise(3)
+
+
+def facts(fact: DataFrame, window: tuple[date, date] = WINDOW) -> DataFrame:
+    """One row per report, product and reaction, by priority; flags and seriousness recoded, unknowns named."""
+    kept = fact_filter(fact, window).withColumn("serious", serious(F.col("serious"), *(F.col(c) for c in FLAGS)))
+    first = R.first_rows(kept, FACT_KEYS, [priority(F.col("drug_characterization")), F.col("load_ts")])
     return first.fillna("Unknown", subset=["patient_sex", "reporter_country", "reporter_company", "reaction_outcome"])
 
 
@@ -163,4 +201,4 @@ def drug_dimension(fact: DataFrame) -> DataFrame:
 def reaction_dimension(fact: DataFrame, by: str = "reaction_meddrapt") -> DataFrame:
     """One row per report and reaction, by term or by concept."""
     kept = fact.filter(F.col("meddra_concept_id").isNotNull()).select("safetyreportid", "reaction_meddrapt", "reaction_outcome", "meddra_concept_id", "meddra_concept_code", "meddra_soc_names", "meddra_soc_codes")
-    return R.first_rows(kept, ["safetyreportid", by], [F.col("reaction_meddrapt"), F.coalesce("reaction_outcome", F.lit("~"))])
+    return R.first_rows(kept, ["safetyreportid", by], [F.col("reaction_meddrapt"), F.col("reaction_outcome").asc_nulls_last()])
