@@ -42,6 +42,19 @@ def test_against_counting_with_nulls_repeats_and_a_hot_basket(spark):
     assert r.lift == pytest.approx(r.n_ab * n / (r.n_a * r.n_b))
 
 
+def test_large_baskets_are_split(spark):
+    rows = [(b, f"i{i:05d}") for b, n in (("x", 700), ("y", 700), ("z", 301), ("w", 5)) for i in range(n)]
+    collapsed = P.baskets(spark.createDataFrame(rows, "b string, i string"), F.col("b"), F.col("i"))
+    _, _, pairs = brute([(b, i, None) for b, i in rows])
+    for small, span in ((256, 128), (4, 7), (10_000, 128)):
+        assert {(r.item_a, r.item_b): r.n_ab for r in P.pair_counts(collapsed, small, span).collect()} == dict(pairs)
+    huge = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.format_string("i%05d", i)).alias("items"), F.lit(1).alias("weight"))
+    split = P.range_pairs(huge).select(F.size("a").alias("n"), F.size("b").alias("m"), F.spark_partition_id().alias("p")).collect()
+    assert len(split) == 157 * 158 // 2 and max(r.n * r.m for r in split) <= 128 * 128
+    by_task = Counter(r.p for r in split)
+    assert len(by_task) > 2 and max(by_task.values()) < 0.6 * len(split)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "b string, x string")
     assert P.pairs(P.baskets(df, F.col("b"), F.col("x"))).count() == 0

@@ -4,7 +4,9 @@ Each basket becomes its sorted set of distinct items; the sets are built by part
 third of all rows is only ever a set. Identical sets collapse into one with a weight. Item counts and, once per distinct
 basket, pairs are then enumerated with that weight and summed, combining before the shuffle. A support asked for prunes
 items first: a pair can't be more frequent than its items, so nothing is lost, and after pruning the baskets collapse
-again. Pairs of a basket are streamed item by item, never held as one list.
+again. A basket of up to ``SMALL`` items gives its pairs in place, item by item. A larger one is split into ranges of its
+sorted items; every two ranges, and each with itself, are a row of their own, spread over all tasks before pairs are formed,
+so no task holds more than the pairs of two ranges at a time.
 
 Scores, with N the number of baskets: lift n(a,b) N / (n(a) n(b)); conviction of a => b (1 - n(b)/N) / (1 - n(a,b)/n(a)),
 null where every basket with a holds b.
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 
 from vigilake.runtime import cut
 
+SMALL, SPAN = 256, 128  # items of a basket whose pairs are formed in place; items of a range of larger ones
+
 
 def baskets(df: DataFrame, basket: Column, *items: Column) -> DataFrame:
     """(items, weight): the distinct baskets and how many ids have them. Written once, as three later steps read it."""
@@ -41,12 +45,23 @@ def pruned(collapsed: DataFrame, frequent: DataFrame) -> DataFrame:
     return kept.filter(F.size("items") > 1).groupBy("items").agg(F.sum("weight").alias("weight"))
 
 
-def pair_counts(collapsed: DataFrame) -> DataFrame:
+def range_pairs(collapsed: DataFrame, span: int = SPAN) -> DataFrame:
+    """(weight, a, b): every two ranges of a basket's items, the second at or after the first, spread over all tasks."""
+    ranges = F.transform(F.sequence(F.lit(0), F.floor((F.size("items") - 1) / span).cast("int")), lambda i: F.slice("items", i * span + 1, span))
+    one = collapsed.select("weight", ranges.alias("ranges")).select("weight", "ranges", F.posexplode("ranges").alias("at", "a"))
+    two = one.select("weight", "a", F.explode(F.slice(F.col("ranges"), F.col("at") + 1, F.size("ranges") - F.col("at"))).alias("b"))
+    return two.repartition(F.xxhash64(F.get("a", F.lit(0)), F.get("b", F.lit(0))))
+
+
+def pair_counts(collapsed: DataFrame, small: int = SMALL, span: int = SPAN) -> DataFrame:
     """(item_a, item_b, n_ab), item_a < item_b."""
-    first = collapsed.select("items", "weight", F.posexplode("items").alias("at", "item_a"))
+    few = collapsed.filter(F.size("items") <= small)
+    first = few.select("items", "weight", F.posexplode("items").alias("at", "item_a"))
     rest = F.slice(F.col("items"), F.col("at") + 2, F.greatest(F.size("items") - F.col("at") - 1, F.lit(0)))
-    pairs = first.select("item_a", "weight", F.explode(rest).alias("item_b"))
-    return pairs.groupBy("item_a", "item_b").agg(F.sum("weight").alias("n_ab"))
+    within = first.select("item_a", "weight", F.explode(rest).alias("item_b"))
+    many = range_pairs(collapsed.filter(F.size("items") > small), span)
+    across = many.select("weight", "b", F.explode("a").alias("item_a")).select("item_a", "weight", F.explode("b").alias("item_b")).filter(F.col("item_a") < F.col("item_b"))
+    return within.unionByName(across).groupBy("item_a", "item_b").agg(F.sum("weight").alias("n_ab"))
 
 
 def pairs(collapsed: DataFrame, min_count: int = 1, min_share: tuple[int, int] = (0, 1), min_lift: int = 0) -> DataFrame:
