@@ -36,6 +36,47 @@ def test_damaged_files_are_named(spark, tmp_path):
     assert out == {"cut.csv.gz": "gzip_corrupt_or_truncated", "good.csv.gz": None, "empty.csv": "empty_csv", "other.csv": "empty_after_filter", "columns.csv": "missing_cols"}
 
 
+def test_headers_read_one_line(spark, tmp_path):
+    """A file that is damaged further on, and one whose line would be unreadable, still give their header."""
+    import random
+
+    body = b"".join(random.Random(1).randbytes(40).hex().encode() + b",1\n" for _ in range(30_000))
+    whole = gzip.compress(b"id,name\n" + body)
+    (tmp_path / "a.csv.gz").write_bytes(whole[: len(whole) // 2] + b"\0" * 5000)
+    (tmp_path / "b.csv").write_bytes(b"x,y\r\n" + b"\xff" * 100)
+    (tmp_path / "c.csv").write_bytes(b"")
+    files = readers.list_files(spark, str(tmp_path))
+    assert [readers.headers(spark, files)[f] for f in files] == ["id,name", "x,y", ""]
+
+
+def test_results_are_split_as_they_come():
+    import random
+
+    rng, one = random.Random(2), {"safetyreportid": "1", "x": ['a "q" \\\\ {[', {"results": [1]}], "y": "]}"}
+    for doc, expected in (
+        ({"meta": {"results": 3, "n": [1]}, "results": [one, {}, one], "after": [one]}, [one, {}, one]), ({"results": []}, []), ({"results": [one]}, [one]), (one, [one]), ([one], [[one]]), ({"results": {"a": 1}}, [{"results": {"a": 1}}]),
+        ({"a": "results", "b": [one]}, [{"a": "results", "b": [one]}]),
+    ):
+        for text in (json.dumps(doc), json.dumps(doc, indent=1)):
+            for size in (1, 2, 3, 7, len(text)):
+                assert [json.loads(x) for x in readers.split_results(text[i : i + size] for i in range(0, len(text), size))] == expected, (text, size)
+    assert list(readers.split_results(['{"results": [{"a": 1}, {"b"'])) == ['{"a": 1}', '{"b"'] and list(readers.split_results([])) == [] and rng
+
+
+def test_large_report_file_is_streamed(spark, tmp_path):
+    from vigilake.sources import readers as module
+
+    with gzip.open(tmp_path / "big.json.gz", "wt", compresslevel=1) as f:
+        f.write('{"meta": {}, "results": [')
+        pad = "x" * 3000
+        f.write(",".join(json.dumps({"safetyreportid": str(i), "pad": pad, "patient": {"reaction": [{}]}}) for i in range(6000)))
+        f.write("]}")
+    rows = readers.read_reports(spark, str(tmp_path))
+    assert 6000 * 3000 > 2 * module.BATCH_BYTES
+    assert rows.count() == 6000 == rows.select("record_id").distinct().count()
+    assert children(shred(rows)).select("safetyreportid").distinct().count() == 6000
+
+
 def test_vocabulary_and_fallback(spark, tmp_path):
     (tmp_path / "v.tsv").write_text('concept_id\tname\n1\ta "quoted" name\nx\t\n')
     out = readers.read_vocabulary(spark, str(tmp_path / "v.tsv"), "concept_id bigint, name string").collect()
@@ -99,6 +140,21 @@ def test_stages_run_and_resume(spark, small, tmp_path):
     assert all(n is None for t in runner.run(c).values() for n in t.values())
     with pytest.raises(ValueError):
         runner.run(c, "nothing")
+    report = json.loads((tmp_path / "drug_mapping_input_quality_report.json").read_text())
+    assert report["pass"] and report["total_rows"] == first["mapping"]["drug_mapping_input"] and 0 < report["coverage"]["medicinal_product"] <= 100
+    assert f"rows before | {first['mapping']['drug_mapping_input']} |" in (tmp_path / "_summary/mapping.md").read_text()
+    assert "- Adult rows: " in (tmp_path / "README.md").read_text()
+
+
+def test_vocabulary_stage(spark, tmp_path):
+    concepts = [(1, "P1", "Pain", "PT"), (2, "H1", "Pains", "HLT"), (3, "G1", "General", "HLGT"), (4, "S1", "Body", "SOC"), (5, "S2", X.EXCLUDED_CLASSES[0], "SOC"), (6, "P2", "Alone", "PT")]
+    spark.createDataFrame(concepts, "concept_id bigint, concept_code string, concept_name string, concept_class string").write.parquet(f"{tmp_path}/in/vocabulary_concepts.parquet")
+    spark.createDataFrame([(1, 2), (2, 3), (3, 4), (3, 5), (1, 4)], "from_id bigint, to_id bigint").write.parquet(f"{tmp_path}/in/vocabulary_relations.parquet")
+    c = runner.Context(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    assert runner.run(c, "vocabulary") == {"vocabulary": {"hierarchy_paths": 2, "hierarchy_lists": 2}}
+    rows = {r.pt_name: r for r in c.table("hierarchy_lists").collect()}
+    assert (rows["Pain"].soc_names, rows["Pain"].hlt_codes, rows["Alone"].soc_ids) == (["Body"], ["H1"], None)
+    assert runner.run(runner.Context(spark, str(tmp_path), str(tmp_path)), "vocabulary") == {"vocabulary": {}}
 
 
 def test_events_of_both_cohorts_reach_the_fact(spark, tmp_path):

@@ -180,7 +180,7 @@ def r14_title_match(fact, dictionary):
 
 
 # A vocabulary of four classes with several parents: orders, their suppliers, nations, regions.
-LEVELS = ("PT", "HLT", "HLGT", "SOC")
+LEVELS = P.LEVELS
 _LEVEL_TABLES = {"PT": ("orders", "o_orderkey", "o_orderpriority", 100_000_000), "HLT": ("supplier", "s_suppkey", "s_name", 1_000_000), "HLGT": ("nation", "n_nationkey", "n_name", 1000), "SOC": ("region", "r_regionkey", "r_name", 0)}
 
 

@@ -6,12 +6,15 @@
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vigilake.operators import relational as R
 from vigilake.operators.linkage import split_quarantine
 from vigilake.operators.wide import widen
 from vigilake.plans import stages as P
@@ -66,6 +69,21 @@ def products(c: Context) -> dict[str, DataFrame]:
     return {"products": P.products(read(c.spark, c.source, "drugcharacteristics_extended"))}
 
 
+def decompose(c: Context) -> dict[str, DataFrame]:
+    """Ingredients and salts of the products' substance texts."""
+    names = c.table("products").select("medicinal_product", F.array_join("active_substance_name", ";").alias("active_substance_name"))
+    return {"decomposed_products": P.decomposed(names)}
+
+
+def vocabulary(c: Context) -> dict[str, DataFrame]:
+    """The hierarchy's paths and lists out of landed vocabulary tables, if there are any."""
+    names = ("vocabulary_concepts", "vocabulary_relations")
+    if not all(writers.landed(c.spark, f"{c.source}/{n}.parquet") for n in names):
+        return {}
+    paths = R.hierarchy(*(read(c.spark, c.source, n) for n in names), P.LEVELS)
+    return {"hierarchy_paths": paths, "hierarchy_lists": R.hierarchy_lists(paths, P.LEVELS)}
+
+
 def linkage(c: Context) -> dict[str, DataFrame]:
     main, out = split_quarantine(P.linked(c.table("products"), read(c.spark, c.source, "adult_drugs_enriched")))
     return {"linked_products": main, "quarantined_products": out}
@@ -80,7 +98,26 @@ def package(c: Context) -> dict[str, DataFrame]:
     return {"fact": fact, "dim_drug": P.drug_dimension(fact), "dim_reaction": P.reaction_dimension(fact), "dim_standard_reaction": P.reaction_dimension(fact, "meddra_concept_id")}
 
 
-STAGES: dict[str, Stage] = {f.__name__: f for f in (entities, mapping, cohorts, reactions, products, linkage, finalise, package)}
+STAGES: dict[str, Stage] = {f.__name__: f for f in (entities, mapping, cohorts, reactions, vocabulary, products, decompose, linkage, finalise, package)}
+
+
+def mapping_notes(c: Context) -> dict[str, str]:
+    report = writers.quality_report(c.table("drug_mapping_input"), "drug_mapping_input", ("safetyreportid", "entry"), ("medicinal_product", *P.PROFILE_LISTS))
+    return {"drug_mapping_input_quality_report.json": json.dumps(report, indent=2, ensure_ascii=False)}
+
+
+COLUMNS = {
+    "safetyreportid": "report identifier", "age_years": "age of the patient in years", "medicinal_product": "drug as reported", "reaction_meddrapt": "reaction term", "meddra_concept_id": "concept of the term",
+    "rxcui": "identifier of the drug, to count distinct drugs by", "ingredient": "ingredients of the identifier", "faers_ingredients": "ingredients of the report", "is_combination_product": "whether either list has several",
+}
+
+
+def package_notes(c: Context) -> dict[str, str]:
+    rows = {r.cohort: r["count"] for r in c.table("fact").groupBy("cohort").count().collect() if r.cohort}  # two cohorts
+    return {"README.md": writers.dataset_readme("Adverse drug reactions of two cohorts", COLUMNS, rows, c.run)}
+
+
+NOTES: dict[str, Callable[[Context], dict[str, str]]] = {"mapping": mapping_notes, "package": package_notes}
 
 
 def run_stage(c: Context, name: str) -> dict[str, int | None]:
@@ -89,6 +126,12 @@ def run_stage(c: Context, name: str) -> dict[str, int | None]:
         by = ("cohort",) if "cohort" in df.columns else ()
         counts[table] = writers.write(df, f"{c.target}/{table}", partition_by=by, resume=c.resume)
     writers.manifest(c.spark, f"{c.target}/_manifest_{c.run}_{name}.json", name, counts, run=c.run)
+    written = {t: n for t, n in counts.items() if n is not None}
+    if written:
+        before, after = list(written.values())[0], list(written.values())[-1]
+        notes = {f"_summary/{name}.md": writers.quality_summary(name.capitalize(), before, after, written), **NOTES.get(name, lambda _: {})(c)}
+        for path, text in notes.items():
+            writers.write_text(c.spark, f"{c.target}/{path}", text)
     return counts
 
 

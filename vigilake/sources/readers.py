@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
+import itertools
+import re
+import shutil
+import tempfile
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +35,41 @@ def list_files(spark: SparkSession, folder: str, patterns: Sequence[str] = SUFFI
     return sorted(found)
 
 
+def _stream(name: str):  # noqa: ANN202
+    """A file's bytes as a stream, unpacked on the way, by the executors' own file systems."""
+    import pyarrow.fs as pafs
+
+    if name.startswith("file:/") and not name.startswith("file://"):
+        name = "file://" + name[5:]
+    fs, path = pafs.FileSystem.from_uri(name) if "://" in name else (pafs.LocalFileSystem(), name)
+    raw = fs.open_input_stream(path, compression=None)
+    return gzip.GzipFile(fileobj=raw) if name.endswith((".gz", ".gzip")) else raw
+
+
+def _over_files(spark: SparkSession, files: Sequence[str], work, schema: str) -> DataFrame:  # noqa: ANN001
+    """``work`` over each file's name, which gives batches; the files are spread over all tasks."""
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                yield from work(name)
+
+    tasks = max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))
+    rows = spark.sparkContext.parallelize([(f,) for f in files], tasks)  # file names, one task for a few of them
+    return spark.createDataFrame(rows, "file string").mapInArrow(run, schema)
+
+
 def headers(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
-    """Each file's first line, read by the executors."""
-    lines = spark.read.text(list(files)).select(F.input_file_name().alias("f"), "value", F.monotonically_increasing_id().alias("n"))
-    return {r.f: r.h for r in lines.groupBy("f").agg(F.min_by("value", "n").alias("h")).collect()}
+    """Each file's first line: an executor opens the file, reads one line and closes it."""
+
+    def first(name: str):  # noqa: ANN202
+        import pyarrow as pa
+
+        with _stream(name) as f:
+            line = io.TextIOWrapper(f, "utf-8", "replace").readline()
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([line.rstrip("\r\n")])], names=["f", "h"])
+
+    return {r.f: r.h for r in _over_files(spark, files, first, "f string, h string").collect()}
 
 
 def read_delimited(spark: SparkSession, folder: str, columns: Sequence[str], types: dict[str, str] | None = None, null_tokens: Sequence[str] = NULL_TOKENS, skip: Sequence[str] = ()) -> DataFrame:
@@ -60,37 +96,38 @@ def read_delimited(spark: SparkSession, folder: str, columns: Sequence[str], typ
 
 def diagnose(spark: SparkSession, folder: str, needed: Sequence[str], keep: tuple[str, Sequence[str]] | None = None) -> DataFrame:
     """(file, reason): why a file would be skipped: damaged or cut gzip, empty, missing columns, nothing left after the
-    filter ``keep`` (column, values), unreadable; null: it is sound. Files are streamed by the executors."""
+    filter ``keep`` (column, values), unreadable; null: it is sound. Executors stream each file; a packed one is read to
+    its end, as damage may stand there, a plain one as far as its first row that counts."""
 
-    def run(batches):  # noqa: ANN001, ANN202
+    def reason(name: str) -> str | None:
         import csv
-        import io
 
+        packed = name.endswith((".gz", ".gzip"))
+        try:
+            with _stream(name) as f:
+                rows = csv.DictReader(io.TextIOWrapper(f, "utf-8-sig", newline=""))
+                first = next(rows, None)
+                if first is None:
+                    return "empty_csv"
+                if not set(needed) <= set(rows.fieldnames or ()):
+                    return "missing_cols"
+                found = not keep
+                for r in itertools.chain([first], rows):
+                    found = found or r.get(keep[0]) in keep[1]
+                    if found and not packed:
+                        break
+                return None if found else "empty_after_filter"
+        except (OSError, EOFError, zlib.error):
+            return "gzip_corrupt_or_truncated"
+        except (ValueError, csv.Error):
+            return "read_error"
+
+    def work(name: str):  # noqa: ANN202
         import pyarrow as pa
 
-        for batch in batches:
-            reasons = []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                reason = None
-                try:
-                    data = gzip.decompress(content) if name.endswith((".gz", ".gzip")) else content
-                    rows = csv.DictReader(io.StringIO(data.decode("utf-8-sig")))
-                    first = next(rows, None)
-                    if first is None:
-                        reason = "empty_csv"
-                    elif not set(needed) <= set(rows.fieldnames or ()):
-                        reason = "missing_cols"
-                    elif keep and first.get(keep[0]) not in keep[1] and all(r.get(keep[0]) not in keep[1] for r in rows):
-                        reason = "empty_after_filter"
-                except (OSError, EOFError, zlib.error):
-                    reason = "gzip_corrupt_or_truncated"
-                except (ValueError, csv.Error):
-                    reason = "read_error"
-                reasons.append(reason)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(reasons, pa.string())], names=["file", "reason"])
-
-    files = spark.read.format("binaryFile").load(list_files(spark, folder)).select(F.col("path").alias("file"), "content")
-    return files.mapInArrow(run, "file string, reason string")
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([reason(name)], pa.string())], names=["file", "reason"])
+
+    return _over_files(spark, list_files(spark, folder), work, "file string, reason string")
 
 
 def read_vocabulary(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -111,21 +148,94 @@ def read_first_of(spark: SparkSession, paths: Sequence[str], columns: Sequence[s
     raise FileNotFoundError("none of: " + ", ".join(paths))
 
 
+_MARKS = re.compile(r'["\\{}\[\]]')
+CHUNK, BATCH_BYTES = 1 << 20, 8 << 20  # characters read at a time; of the payloads handed on at a time
+
+
+def split_results(chunks: Iterable[str]) -> Iterator[str]:
+    """The elements of the top-level ``results`` array of a JSON text that comes in pieces, as texts, one at a time; a text
+    without such an array as a whole. What is broken is handed on as it stands."""
+    held, at, begin = "", 0, 0  # text not handed on; where to read on; where the element, or the last name, begins
+    depth, quoted, inside = 0, False, False
+    for chunk in chunks:
+        held += chunk
+        while (m := _MARKS.search(held, at)) is not None:
+            at, ch = m.end(), m.group()
+            if quoted:
+                if ch == "\\":
+                    if at >= len(held):  # the escaped character comes with the next piece
+                        at = m.start()
+                        break
+                    at += 1
+                elif ch == '"':
+                    quoted = False
+            elif ch == '"':
+                quoted = True
+                if not inside and depth == 1:
+                    begin = m.start()
+            elif ch in "{[":
+                if not inside and depth == 1 and ch == "[" and begin is not None and re.fullmatch(r'"results"\s*:\s*', held[begin : m.start()]):
+                    inside, held, at, begin, depth = True, held[at:], 0, None, 2
+                    continue
+                depth += 1
+                if inside and depth == 3:
+                    begin = m.start()
+            elif ch in "}]":
+                depth -= 1
+                if inside and depth == 2 and begin is not None:
+                    yield held[begin:at]
+                    held, at, begin = held[at:], 0, None
+                elif inside and depth == 1:
+                    return
+        else:
+            at = len(held)
+            if inside and begin is None and not quoted:
+                held, at = "", 0
+    if held.strip() and not inside:
+        yield held
+    elif inside and begin is not None:
+        yield held[begin:]  # cut off
+
+
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, payload) of JSON files, one record a file, ready to be shredded; zip and gzip files are unpacked."""
+    """(record_id, payload) of JSON files, one row a report, ready to be shredded: files are streamed and their ``results``
+    handed on element by element, so no file is held whole; zip and gzip files are unpacked on the way. record_id is the
+    hash of the file's name and the report's number in it."""
 
-    @F.udf(T.ArrayType(T.StringType()))
-    def unpack(name: str, content: bytes):  # noqa: ANN202
-        import io
+    def work(name: str):  # noqa: ANN202
         import zipfile
 
-        if name.endswith(".zip"):
-            z = zipfile.ZipFile(io.BytesIO(content))
-            return [z.read(n).decode("utf-8", "replace") for n in sorted(z.namelist())]
-        return [(gzip.decompress(content) if name.endswith((".gz", ".gzip")) else content).decode("utf-8", "replace")]
-
-    files = spark.read.format("binaryFile").load(path).select("path", F.posexplode(unpack("path", "content")).alias("n", "payload"))
-    return files.select(F.xxhash64("path", "n").alias("record_id"), "payload")
+        import pyarrow as pa
+        from xxhash import xxh64_intdigest
+
+        def texts():  # noqa: ANN202
+            with _stream(name) as f:
+                if name.endswith(".zip"):
+                    with tempfile.TemporaryFile() as own:  # a zip file's index stands at its end
+                        shutil.copyfileobj(f, own)
+                        z = zipfile.ZipFile(own)
+                        for n in sorted(z.namelist()):
+                            with z.open(n) as part:
+                                yield from split_results(pieces(part))
+                else:
+                    yield from split_results(pieces(f))
+
+        def pieces(f):  # noqa: ANN001, ANN202
+            t = io.TextIOWrapper(f, "utf-8", "replace")
+            while x := t.read(CHUNK):
+                yield x
+
+        rows, size = [], 0
+        for n, text in enumerate(texts()):
+            rows.append((xxh64_intdigest(f"{name}\0{n}") - 2**63, text))
+            size += len(text)
+            if size > BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string()))], names=["record_id", "payload"])
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string()))], names=["record_id", "payload"])
+
+    return _over_files(spark, list_files(spark, path, ("*.json", "*.json.gz", "*.json.gzip", "*.zip")), work, "record_id bigint, payload string")
 
 
 def synonyms(spark: SparkSession, synonym_path: str, title_path: str, names: DataFrame) -> DataFrame:
