@@ -37,32 +37,44 @@ LINE_ENDS, PARAGRAPH_ENDS = _code_points("\n\x85\u2028\u2029"), _code_points("\u
 STOPS = _code_points(".!?\u2026\u203c\u2047\u2048\u2049\u061f\u06d4\u0964\u0965\u1362\u1367\u104b\u17d4\u0589")  # before white space
 WIDE_STOPS = _code_points("\u3002\uff01\uff1f\uff61\uff0e")  # end a sentence whatever follows
 CLOSERS = _code_points("\"')]}\xbb\u2019\u201d\u203a\u300d\u300f\u3011\uff09")
-
-
-def boundaries(data: bytes, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Token counts after which a paragraph, line, sentence or word ends, strongest first; those that split no character;
-    and, of the natural ones, those where a pre-token surely ends. All by characters, in any script: a word ends at any
-    other character before white space."""
-    b = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(1, np.uint8)])
-    index = np.flatnonzero((b[ends] & 0xC0) != 0x80) + 1
-    chars = char_positions(data)
-    at = (ends if chars is None else chars[ends])[index - 1] + 3
-    text = np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32)
-    c = np.concatenate([np.zeros(3, np.uint32), text, np.full(1, END, np.uint32)])
-    last, before, third, after = c[at - 1], c[at - 2], c[at - 3], c[at]
-    white = np.isin(after, WHITE)
-    line_end = np.isin(last, LINE_ENDS) & ~white & ~np.isin(after, MAYBE_WHITE)  # begins a pre-token, as does white space after a word
-    paragraph = line_end & (np.isin(before, LINE_ENDS) | ((before == 13) & np.isin(third, LINE_ENDS)) | np.isin(last, PARAGRAPH_ENDS))
-    closed = np.isin(last, CLOSERS)
-    mark = np.where(closed, before, last)
-    wide = np.isin(mark, WIDE_STOPS) & ~np.isin(after, CLOSERS) & ~np.isin(after, WIDE_STOPS) & (after != END)
-    sentence = (np.isin(mark, STOPS) & white) | wide
-    word = (white & ~np.isin(last, MAYBE_WHITE)) | line_end
-    letter = np.zeros(len(after), bool)
-    for i in np.flatnonzero(wide & ~white):
-        letter[i] = chr(after[i]).isalnum()
-    sure = word | (wide & letter)
-    return [index[x] for x in (paragraph, line_end, sentence, word)], index, index[sure]
+IS_WHITE, IS_MAYBE, IS_LINE, IS_PARAGRAPH, IS_STOP, IS_WIDE, IS_CLOSER = (1 << i for i in range(7))
+_CLASSES = np.zeros(END + 1, np.uint8)  # of every character
+for _bit, _points in zip((IS_WHITE, IS_MAYBE, IS_LINE, IS_PARAGRAPH, IS_STOP, IS_WIDE, IS_CLOSER), (WHITE, MAYBE_WHITE, LINE_ENDS, PARAGRAPH_ENDS, STOPS, WIDE_STOPS, CLOSERS)):
+    _CLASSES[_points] |= _bit
+
+
+def boundaries(data: bytes, ends: np.ndarray, chars: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Token counts after which a paragraph, line, sentence or word ends, strongest first; after which any does; that split
+    no character; and, by token count, whether a pre-token surely ends there. All by characters, in any script: a word ends at any
+    other character before white space. ``chars``: the characters' positions by byte, unless they are the same."""
+    if chars is None:
+        index, at, text = np.arange(1, len(ends) + 1), ends, np.frombuffer(data, np.uint8)
+    else:
+        b = np.frombuffer(data + b"\0", np.uint8)
+        index = np.flatnonzero((b[ends] & 0xC0) != 0x80) + 1
+        at, text = chars[ends][index - 1], np.frombuffer(data.decode("utf-8").encode("utf-32-le"), np.uint32)
+    kind = np.zeros(len(text) + 4, np.uint8)
+    kind[3:-1], kind[-1] = _CLASSES[text], _CLASSES[END]
+    last, before, third, after = kind[at + 2], kind[at + 1], kind[at], kind[at + 3]
+    white = after & IS_WHITE > 0
+    line_end = (last & IS_LINE > 0) & (after & IS_MAYBE == 0)  # begins a pre-token, as does white space after a word
+    paragraph, i = np.zeros(len(at), bool), np.flatnonzero(line_end)
+    if len(i):
+        returned = text[np.maximum(at[i] - 2, 0)] == 13
+        paragraph[i] = (before[i] & IS_LINE > 0) | (returned & (third[i] & IS_LINE > 0)) | (last[i] & IS_PARAGRAPH > 0)
+    mark = np.where(last & IS_CLOSER > 0, before, last)
+    sentence = (mark & IS_STOP > 0) & white
+    word = (white & (last & IS_MAYBE == 0)) | line_end
+    sure = word
+    if chars is not None:
+        wide = (mark & IS_WIDE > 0) & (after & (IS_CLOSER | IS_WIDE) == 0) & (at < len(text))
+        sentence, letter = sentence | wide, np.zeros(len(at), bool)
+        for i in np.flatnonzero(wide & ~white):
+            letter[i] = chr(text[at[i]]).isalnum()
+        sure = word | letter
+    surely = np.zeros(len(ends) + 1, bool)
+    surely[index] = sure
+    return [index[x] for x in (paragraph, line_end, sentence, word)], index[sentence | word], index, surely
 
 
 def _last(sorted_positions: np.ndarray, most: int) -> int:
@@ -75,18 +87,17 @@ def pieces(e: Encoder, text: str, ids: np.ndarray, limit: int, overlap: int, fil
     """(first character, character after the last, tokens, tokens shared with the piece before) of each piece."""
     data = text.encode("utf-8", "replace")
     ends, n = e.byte_ends(ids), len(ids)
-    levels, whole, sure = boundaries(data, ends)
-    natural, chars = np.unique(np.concatenate(levels)), char_positions(data)
+    chars = char_positions(data)
+    levels, natural, whole, sure = boundaries(data, ends, chars)
     byte = np.concatenate([[0], ends])
     char = byte if chars is None else chars[byte]
-    sure_set = set(sure.tolist())
 
     def tokens(start: int, cut: int) -> int:
         """Tokens of the piece encoded by itself."""
         piece = text[char[start] : char[cut]]
         body = piece.rstrip()
         run = piece[len(body) :]
-        if body and (start == 0 or start in sure_set) and (cut == n or cut in sure_set):
+        if body and (start == 0 or sure[start]) and (cut == n or sure[cut]):
             if not run:
                 return cut - start
             # Between sure boundaries the pre-tokens are those of the whole text, but for the white space at the end.
