@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from vigilake.functions.names import first_name
 from vigilake.operators import inference as I
 from vigilake.operators import linkage as L
+from vigilake.plans.reference import strength_and_form
 
 
 def test_batches_answers_and_bad_answers(spark):
@@ -21,9 +22,9 @@ def test_batches_answers_and_bad_answers(spark):
 
 
 def test_stand_in(spark):
-    df = spark.createDataFrame([("Foo 10 mg tablet",), ("bar",), ("",)], "name string")
-    out = {r.name: (r.ingredients, r.strength, r.dosage_form) for r in I.infer(df, "name").collect()}
-    assert out == {"Foo 10 mg tablet": (["FOO"], "10 MG", "TABLET"), "bar": (["BAR"], None, None), "": (None, None, None)}
+    df = spark.createDataFrame([("FOO 10 MG TABLET",), ("BAR",), ("",)], "name string")
+    out = {r.name: (r.ingredients, r.strength, r.dosage_form) for r in I.infer(df, "name", strength_and_form).collect()}
+    assert out == {"FOO 10 MG TABLET": (["FOO "], "10 MG", "TABLET"), "BAR": (["BAR"], None, None), "": (None, None, None)}
 
 
 def test_statuses_and_name_blocks(spark):

@@ -18,23 +18,6 @@ BATCH = 64
 FIELDS = ("ingredients", "strength", "dosage_form", "qualifier", "qualifier_type")
 
 
-def rules() -> Callable[[list[str]], list[str]]:
-    """An offline stand-in for a model: strength and form by patterns, the words before them as ingredient."""
-    import re
-
-    from vigilake.functions.lexicons import DOSAGE_FORMS
-
-    strength, form = re.compile(r"\b\d+(?:\.\d+)?\s?(?:MG|MCG|ML|G|IU)\b"), re.compile(r"\b(?:" + "|".join(sorted(DOSAGE_FORMS, key=len, reverse=True)) + r")\b")
-
-    def answer(text: str) -> str:
-        up = text.upper()
-        s, f = strength.search(up), form.search(up)
-        name = up[: min(x.start() for x in (s, f) if x)] if s or f else up
-        return json.dumps({"ingredients": [name.strip()] if name.strip() else None, "strength": s and s.group(), "dosage_form": f and f.group()})
-
-    return lambda texts: [answer(t) for t in texts]
-
-
 def _field(answer: str, name: str) -> object:
     try:
         x = json.loads(answer)
@@ -47,7 +30,7 @@ def _field(answer: str, name: str) -> object:
     return None if v is None else str(v)
 
 
-def infer(df: DataFrame, text: str, make: Callable[[], Callable[[Sequence[str]], Sequence[str]]] = rules, batch: int = BATCH) -> DataFrame:
+def infer(df: DataFrame, text: str, make: Callable[[], Callable[[Sequence[str]], Sequence[str]]], batch: int = BATCH) -> DataFrame:
     """(text, FIELDS...): the answers for each distinct text that isn't null."""
     schema = T.StructType([T.StructField(text, T.StringType())] + [T.StructField(f, T.ArrayType(T.StringType()) if f == "ingredients" else T.StringType()) for f in FIELDS])
 

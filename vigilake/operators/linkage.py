@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from vigilake.functions import lexicons as X
 from vigilake.functions.names import any_pattern, similar, without_noise, words
+from vigilake.runtime import cut
 
 
 def unique_names(table: DataFrame, name: str = "name", identifier: str = "rxcui") -> DataFrame:
@@ -126,14 +127,18 @@ def cascade(
     known = unique_names(exact).select("_name", F.col("_hit").cast("string").alias("rxcui"))
     first = lambda df: df.groupBy("basename").agg(F.min_by(F.struct("rxcui", "lookup_hit", "source"), "_rank").alias("_h")).select("basename", "_h.*")
     hits = first(reduce(DataFrame.unionByName, parts).filter(F.col("_name") != "").join(known, "_name"))
+    if approximate is not None or kegg is not None:
+        hits = cut(hits)  # read again by every step for the names still open
     if approximate is not None:
         still = own.join(hits, "basename", "left_anti").select("basename")
         near = nearest(still, "basename", "basename", approximate).filter(F.col("_hit").isNotNull())
         hits = hits.unionByName(near.select("basename", F.col("_hit").cast("string").alias("rxcui"), F.concat(F.lit("approx:"), "_as").alias("lookup_hit"), F.lit("approx_match").alias("source")))
     if kegg is not None:
+        hits = cut(hits)
         still = own.join(hits, "basename", "left_anti").filter(F.length(F.trim("basename")) >= 5)
         found = still.select("basename", F.lower(F.trim("basename")).alias("_name")).join(_titles(kegg, "kegg_id"), "_name").drop("_name")
         hit = F.concat_ws(":", F.lit("kegg"), "kegg_id", "title")
+        found = cut(found)
         inns = candidates(found, F.lit(0), title, hit, "kegg_inn").join(known, "_name").drop("_name")
         if approximate is not None:
             near = nearest(found.join(inns, "basename", "left_anti"), "basename", "title", approximate).filter(F.col("_hit").isNotNull())

@@ -14,9 +14,13 @@ from vigilake.functions.text import NULL_TOKENS, null_tokens, strip
 from vigilake.operators import inference as I
 from vigilake.operators import linkage as L
 from vigilake.operators import relational as R
+from vigilake.operators import shred as S
 from vigilake.operators import wide as W
 from vigilake.plans import stages as P
-from vigilake.runtime import read
+from vigilake.plans import training as T
+from vigilake.runtime import read, shared_folder
+from vigilake.sources import readers, writers
+from vigilake.streaming import landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +43,7 @@ def _list(words: tuple[str, ...]) -> str:
     return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
 
 
+_NULLED = lambda c: f"case when {c} not in {_list(NULL_TOKENS)} then {c} end"
 DRUG, FACT, LIST = "drugcharacteristics_extended", "adult_fact", "adult_drugs_enriched"
 _DATE = "coalesce(cast(try_strptime({0}, '%Y%m%d') as date), try_cast({0} as date))"
 _DAY = lambda c: f"case when regexp_full_match({c}, '[0-9]{{8}}') then cast(try_strptime({c}, '%Y%m%d') as date) when regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(left({c}, 10) as date) end"
@@ -595,17 +600,188 @@ def r66_first_ingredient(listed):
     return kept.groupBy("basename").agg(F.min_by(one, F.when(one.isNotNull(), F.col("medicinal_product"))).alias("ingredient"), F.count(F.lit(1)).alias("n"))
 
 
-@query(None, LIST)
-def r67_ingredient_status(listed):
-    names = listed.filter(F.col("basename").isNotNull()).select("medicinal_product", F.array(F.col("basename"), F.concat("basename", F.lit("A")), F.lit("???")).alias("names"))
-    return L.ingredient_status(names, "names", listed.select(F.col("basename").alias("name"), "rxcui"), "medicinal_product")
+@query(None, DRUG, LIST)
+def r67_ingredient_status(drug, listed):
+    """Of each substance text, whether its substances are names of the list's single ingredients."""
+    named = drug.select("active_substance_name").filter(F.col("active_substance_name").isNotNull()).distinct()
+    names = named.withColumn("names", N.substances(F.col("active_substance_name")))
+    exact = listed.filter(F.col("rxcui_tty") == "IN").select(F.col("basename").alias("name"), "rxcui")
+    out = L.ingredient_status(names, "names", exact, "active_substance_name")
+    return out.withColumn("worst", V.worst_status(F.col("statuses")))
 
 
-@query(None, DRUG)
+def strength_and_form():
+    """A model by patterns, as batched inference takes it: strength, dosage form, and what stands before them."""
+    import json
+    import re
+
+    strength, form = re.compile(r"\b\d+(?:\.\d+)?\s?(?:MG|MCG|ML|G|IU)\b", re.ASCII), re.compile(r"\b(?:" + "|".join(sorted(X.DOSAGE_FORMS, key=len, reverse=True)) + r")\b", re.ASCII)
+
+    def answer(text: str) -> str:
+        s, f = strength.search(text), form.search(text)
+        name = text[: min((x.start() for x in (s, f) if x), default=len(text))]
+        return json.dumps({"ingredients": [name] if name else None, "strength": s and s.group(), "dosage_form": f and f.group()})
+
+    return lambda texts: [answer(t) for t in texts]
+
+
+_FORMS = "|".join(sorted(X.DOSAGE_FORMS, key=len, reverse=True))
+_WHITE = "[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200B}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]"
+_TRIM = lambda c: f"regexp_replace({c}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+_CLEAN = lambda c: f"array_to_string(list_filter(string_split(regexp_replace(regexp_replace(upper({_TRIM(c)}), '\\.([A-Z]+)\\.', '\\1', 'g'), '[^A-Z0-9 ]', ' ', 'g'), ' '), lambda w: len(w) > 1 and not regexp_full_match(w, '[0-9]+|[0-9]+[A-Z]{{1,2}}|[A-Z]{{1,2}}[0-9]+')), ' ')"
+
+
+@query(f"""with t as (select distinct upper(medicinal_product) t from drugcharacteristics_extended where medicinal_product is not null),
+m as (select t, nullif(regexp_extract(t, '\\b[0-9]+(?:\\.[0-9]+)?\\s?(?:MG|MCG|ML|G|IU)\\b'), '') s, nullif(regexp_extract(t, '\\b(?:{_FORMS})\\b'), '') f,
+  regexp_extract(t, '^(?s:(.*?))(?:\\b[0-9]+(?:\\.[0-9]+)?\\s?(?:MG|MCG|ML|G|IU)\\b|\\b(?:{_FORMS})\\b|$)', 1) n from t),
+c as (select t, s, f, n, {_CLEAN('n')} i from m)
+select t as text, case when n <> '' then [n] end ingredients, s strength, f dosage_form, case when i <> '' and i not in {_list(X.NON_INGREDIENTS)} and i not in {_list(X.SALTS)} then [i] end ingredient, case when i in {_list(X.SALTS)} then [i] end salt from c""", DRUG)
 def r68_decompose_names(drug):
-    answers = I.infer(drug.withColumn("clean", N.clean_name(F.col("medicinal_product"))), "clean")
-    ingredient, salt = N.ingredients_and_salts(F.transform(F.col("ingredients"), lambda x: F.upper(x)))
-    return answers.withColumn("ingredient", ingredient).withColumn("salt", salt)
+    texts = drug.select(F.upper("medicinal_product").alias("text"))
+    answers = I.infer(texts, "text", strength_and_form)
+    ingredient, salt = N.ingredients_and_salts(F.col("ingredients"))
+    return answers.select("text", "ingredients", "strength", "dosage_form", ingredient.alias("ingredient"), salt.alias("salt"))
+
+
+_Q = lambda s: f"regexp_replace({s}, '([A-Za-z0-9])[?]([A-Za-z0-9])', '\\1-\\2', 'g')"
+_GREEKED = "s1"
+for _g in X.GREEK:
+    _GREEKED = f"regexp_replace({_GREEKED}, '(?i)[.]{_g}[.]', '{_g.lower()}-', 'g')"
+
+
+@query(f"""with p as (select distinct medicinal_product from drugcharacteristics_extended), a as (select medicinal_product, {_TRIM('medicinal_product')} o from p),
+b as (select *, translate(regexp_replace(regexp_replace(o, '[‘’]', chr(39), 'g'), '[“”]', '"', 'g'), '^', ' ') s1 from a),
+c as (select *, {_Q(_Q(_GREEKED))} s2 from b),
+d as (select *, {_TRIM("regexp_replace(regexp_replace(s2, '-{2,}', '-', 'g'), '[ \\t\\n\\x{0B}\\f\\r]+', ' ', 'g')")} s3 from c),
+e as (select *, {_TRIM("regexp_replace(s3, '([^ \\t\\n\\x{0B}\\f\\r])[.]+$', '\\1')")} s4 from d)
+select medicinal_product, coalesce(nullif(s4, ''), o, '') clean from e""", DRUG)
+def r75_clean_name_as_typed(drug):
+    """All steps of the normaliser but the compatibility forms, which SQL lacks."""
+    return drug.select("medicinal_product").distinct().withColumn("clean", N.clean_name(F.col("medicinal_product"), compat=False))
+
+
+_ALL = "medicinal_product"
+
+
+@query(f"""with p as (select distinct medicinal_product from drugcharacteristics_extended where medicinal_product is not null),
+b as (select medicinal_product, list_filter(regexp_extract_all(upper(medicinal_product), '[(](.*?)[)]', 1), lambda x: regexp_matches(x, '[+;]'))[1] b from p)
+select medicinal_product, list_filter(list_transform(regexp_split_to_array(b, '[+;]'), lambda x: {_TRIM('x')}), lambda x: x <> '' and x not in {_list(X.BRACKET_QUALIFIERS)} and not regexp_matches(x, '^[0-9]')) parts,
+case when lower({_TRIM('medicinal_product')}) not in ('', 'none', 'null') then {_TRIM('medicinal_product')} end kept from b""", DRUG)
+def r76_brackets_and_nulls(drug):
+    c = F.col("medicinal_product")
+    return drug.select(c).filter(c.isNotNull()).distinct().select(c, N.bracket_ingredients(c).alias("parts"), N.text_or_null(c).alias("kept"))
+
+
+@query("select distinct basename, nullif(trim(regexp_replace(regexp_replace(basename || ' (JAN/INN) second', '\\s*[(][^)]*[)]', '', 'g'), ';\\s*$', '')), '') inn from adult_drugs_enriched where basename is not null", LIST)
+def r77_name_block(listed):
+    block = F.concat(F.lit("ENTRY       D00001  Drug\nNAME        "), F.col("basename"), F.lit(" (JAN/INN) second;\n            Other (TN)\nFORMULA     C"))
+    return listed.filter(F.col("basename").isNotNull()).select("basename", N.first_name(block).alias("inn")).distinct()
+
+
+_REST = "age_years, patient_sex, receive_date, mostrecent_receive_date, lastupdate_date, serious, congenital_anomali, death, disabling, hospitalization, life_threatening, other, reporter_country, reporter_company, reporter_qualification, rxcui, mapping_method, ingredient, faers_ingredients, ingredient_count, faers_ingredient_count, is_combination_product, drug_characterization, drug_administration, drug_indication, reaction_outcome, meddra_concept_id, meddra_concept_code, meddra_soc_codes, meddra_soc_names"
+_RECODED = f"greatest(case when serious = 1 then 1 else 0 end, {', '.join(f'case when {c} = 1 then 1 else 0 end' for c in _FLAGS)})"
+
+
+@query(f"""select safetyreportid, medicinal_product, reaction_meddrapt, serious, coalesce(patient_sex, 'Unknown') patient_sex, coalesce(reporter_country, 'Unknown') reporter_country, coalesce(reporter_company, 'Unknown') reporter_company, coalesce(reaction_outcome, 'Unknown') reaction_outcome from (
+  select *, row_number() over (partition by safetyreportid, medicinal_product, reaction_meddrapt order by priority, load_ts, {', '.join(f'{c.strip()} nulls first' for c in _REST.split(','))}) o
+  from (select * replace ({_RECODED} as serious), case when drug_characterization like 'Suspect%' then 0 when drug_characterization like 'Interacting%' then 1 when drug_characterization like 'Concomitant%' then 2 else 3 end priority from adult_fact where {_KEPT})) where o = 1""", FACT)
+def r78_fact_columns(fact):
+    return P.facts(fact).select("safetyreportid", "medicinal_product", "reaction_meddrapt", "serious", "patient_sex", "reporter_country", "reporter_company", "reaction_outcome")
+
+
+@query("""select safetyreportid, serious, text, case when serious = 1 then 1 else 0 end recoded, rxcui is not null selected from (select distinct safetyreportid, serious, rxcui,
+  case when serious = 1 then 'The reaction resulted in ' || coalesce(reaction_outcome, 'harm') when serious = 0 then 'It did not result in any of the above' else 'other' end as text from adult_fact)""", FACT)
+def r79_serious_texts(fact):
+    text = F.when(F.col("serious") == 1, F.concat(F.lit("The reaction resulted in "), F.coalesce("reaction_outcome", F.lit("harm")))).when(F.col("serious") == 0, "It did not result in any of the above").otherwise("other")
+    out = R.with_column_if_absent(fact.select("safetyreportid", "serious", "rxcui", text.alias("text")).distinct(), "is_selected_case", F.col("rxcui").isNotNull())
+    out = out.withColumns({"recoded": V.serious(F.col("text")), "selected": F.coalesce("is_selected_case", F.lit(False)) == True})  # noqa: E712
+    return R.select_existing(out, ("safetyreportid", "serious", "text", "absent", "recoded", "selected"))
+
+
+# --- sources and sinks: written to the shared folder, read back -----------------------------------------------------
+def _written(name: str, sql: str | None, *tables: str):
+    """Registers a query that writes its tables below a folder of its own and reads them back."""
+
+    def register(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        QUERIES[name] = lambda spark, d: f(spark, shared_folder(spark), *(read(spark, d, t) for t in tables))
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return register
+
+
+@_written("r81_delimited_files", f"select key, {_NULLED('value')} as value, {_NULLED('safetyreportid')} safetyreportid, case when len(key) % 2 = 0 then entry end entry from patient_drug_openfda where key not in {_list(NULL_TOKENS)}", "patient_drug_openfda")
+def _delimited_files(spark, folder, openfda):
+    """Files of two layouts in one folder, packed, read by the names of their columns."""
+    even = F.length("key") % 2 == 0
+    writers.write(openfda.filter(even).select("key", "value", "safetyreportid", "entry"), f"{folder}/a", kind="csv")
+    writers.write(openfda.filter(~even).select("safetyreportid", "value", F.lit("x").alias("other"), "key"), f"{folder}/b", kind="csv")
+    return readers.read_delimited(spark, f"{folder}/*", ("key", "value", "safetyreportid", "entry"), {"entry": "bigint"}).filter(F.col("key").isNotNull())
+
+
+@_written("r82_diagnosed_files", "select 'a' part, cast(null as varchar) reason union all select 'b', 'missing_cols' union all select 'c', 'empty_after_filter'", "pt_soc_dictionary")
+def _diagnosed_files(spark, folder, terms):
+    names = terms.select(F.col("meddra_concept_name").alias("key")).coalesce(1)
+    writers.write(names, f"{folder}/a", kind="csv")
+    writers.write(names.withColumnRenamed("key", "other"), f"{folder}/b", kind="csv")
+    writers.write(names.select(F.lit("none").alias("key")), f"{folder}/c", kind="csv")
+    first = [r[0] for r in terms.select("meddra_concept_name").limit(1).collect()]
+    found = readers.diagnose(spark, f"{folder}/*", ("key",), ("key", first))
+    return found.select(F.regexp_extract("file", "/([abc])/[^/]*$", 1).alias("part"), "reason")
+
+
+@_written("r83_vocabulary_file", "select meddra_concept_id, meddra_concept_name, meddra_concept_code from pt_soc_dictionary", "pt_soc_dictionary")
+def _vocabulary_file(spark, folder, terms):
+    terms.select("meddra_concept_id", "meddra_concept_name", "meddra_concept_code").write.option("sep", "\t").option("quote", "").option("header", True).csv(f"{folder}/v")
+    return readers.read_vocabulary(spark, f"{folder}/v", "meddra_concept_id bigint, meddra_concept_name string, meddra_concept_code string")
+
+
+_SYNONYMS = """with n as (select distinct lower(trim(basename)) k from adult_drugs_enriched where basename is not null),
+s as (select distinct cast(rxcui as bigint) id, medicinal_product_norm t from adult_drugs_enriched where medicinal_product_norm is not null and try_cast(rxcui as bigint) is not null),
+i as (select k, min(id) id from s join n on k = lower(trim(t)) group by 1)"""
+
+
+@_written("r84_synonym_files", _SYNONYMS + ", t as (select cast(rxcui as bigint) id, min(basename) title from adult_drugs_enriched where basename is not null and try_cast(rxcui as bigint) is not null group by 1) select k as name, title, (select count(*) from s where s.id in (select id from s join n on k = lower(trim(t)))) n_all from i join t on i.id = t.id", LIST)
+def _synonym_files(spark, folder, listed):
+    ids = listed.filter(F.col("rxcui").try_cast("bigint").isNotNull())
+    tsv = lambda df, name: df.distinct().write.option("sep", "\t").option("quote", "").csv(f"{folder}/{name}")
+    tsv(ids.filter(F.col("medicinal_product_norm").isNotNull()).select("rxcui", "medicinal_product_norm"), "synonyms")
+    tsv(ids.filter(F.col("basename").isNotNull()).groupBy("rxcui").agg(F.min("basename")), "titles")
+    names = listed.filter(F.col("basename").isNotNull()).select("basename")
+    table = spark.read.csv(f"{folder}/synonyms", sep="\t", quote="", schema="id bigint, text string")
+    n_all = readers.all_synonyms(table, names).agg(F.count(F.lit(1))).scalar()
+    return readers.synonyms(spark, f"{folder}/synonyms", f"{folder}/titles", names).withColumn("n_all", n_all)
+
+
+@_written("r85_written_batches", "select reaction_meddrapt, n, (select count(*) from reactions) n_written, row_number() over (order by n desc, reaction_meddrapt) as place from (select reaction_meddrapt, count(*) n from reactions where reaction_meddrapt is not null group by 1)", "reactions")
+def _written_batches(spark, folder, reactions):
+    """Two batches, written apart and read in the order of a column; a finished output isn't written again."""
+    n_written = writers.write(reactions, f"{folder}/all")
+    counts = reactions.filter(F.col("reaction_meddrapt").isNotNull()).groupBy("reaction_meddrapt").agg(F.count(F.lit(1)).alias("n"))
+    places = R.numbered(counts.withColumn("m", -F.col("n")), ["m", "reaction_meddrapt"], "place").select("reaction_meddrapt", "n", F.lit(n_written).cast("bigint").alias("n_written"), F.col("place").cast("bigint").alias("place"))
+    for i in (0, 1):
+        writers.write(places.filter(F.col("place") % 2 == i), f"{folder}/batch{i}")
+        if writers.write(places.limit(0), f"{folder}/batch{i}", resume=True) is not None:
+            raise AssertionError("a finished batch was written again")
+    return writers.merge_batches(spark, [f"{folder}/batch{i}" for i in (0, 1)], "place")
+
+
+@_written("r86_first_of_sources", "select nullif(safetyreportid, '') safetyreportid, patient_custom_master_age age from patient", "patient")
+def _first_of_sources(spark, folder, patient):
+    """The packed text is taken, as there is no parquet of the table; an empty text comes back as null."""
+    writers.write(patient.select("safetyreportid", F.col("patient_custom_master_age").alias("age")), f"{folder}/p.csv", kind="csv")
+    out = readers.read_first_of(spark, [f"{folder}/p.parquet", f"{folder}/p.csv"], ["safetyreportid", "age"])
+    return out.select("safetyreportid", F.col("age").try_cast("double").alias("age"))
+
+
+@_written("r87_landed_stream", T.SQL["p2_found"], "raw_reports")
+def _landed_stream(spark, folder, raw):
+    """Files that arrive in two lots, each taken once."""
+    for i in (0, 1):
+        raw.filter(F.col("record_id") % 2 == i).select("record_id", "payload").write.mode("append").parquet(f"{folder}/in")
+        landing.land(spark, f"{folder}/in", f"{folder}/out", f"{folder}/mark").awaitTermination()
+    return S.children(landing.landed(spark, f"{folder}/out"))
 
 
 @query("select event_type, strftime(ts, '%Y-%m') as month, count(*) n, sum(value) total, max(value) - min(value) spread from events where event_type <> 'click' group by 1, 2", "events")

@@ -31,7 +31,7 @@ def write(df: DataFrame, path: str, kind: str = "parquet", partition_by: tuple[s
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if kind == "csv":
-        writer.option("header", True).option("compression", "gzip").csv(path)
+        writer.options(header=True, compression="gzip", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
         writer.option("compression", "zstd").parquet(path)
     return seen.get["rows"]
