@@ -226,15 +226,14 @@ _KEEP = f"len(w) > 2 and w not in {_list(X.SALTS + X.DOSAGE_FORMS + X.ROUTES + X
 _TOKENS = lambda c: f"list_filter(string_split(trim(regexp_replace(regexp_replace({c}, '[^A-Z ]', ' ', 'g'), ' +', ' ', 'g')), ' '), lambda w: {_KEEP})"
 
 
-@query(f"""with p as (select distinct medicinal_product from drugcharacteristics_extended where regexp_full_match(medicinal_product, '[A-Za-z0-9 .^/-]+'))
-select medicinal_product, coalesce(nullif(array_to_string({_TOKENS("upper(medicinal_product)")}, ' '), ''), trim(regexp_replace(regexp_replace(upper(medicinal_product), '[^A-Z ]', ' ', 'g'), ' +', ' ', 'g'))) basename from p""", DRUG)
-def r18_base_name(drug):
-    plain = drug.select("medicinal_product").filter(F.col("medicinal_product").rlike(r"^[A-Za-z0-9 .^/-]+$")).distinct()
-    return plain.withColumn("basename", N.base_name(F.col("medicinal_product")))
+_LETTERS = lambda c: f"regexp_replace({c}, '[^A-Z ]', ' ', 'g')"
+_KEPT_WORDS = lambda c: f"array_to_string(list_filter(string_split({_LETTERS(c)}, ' '), lambda w: {_KEEP}), ' ')"
 
 
-@query(None, DRUG)
-def r70_base_name_all(drug):
+@query(f"""with p as (select medicinal_product, upper(medicinal_product) u from (select distinct medicinal_product from drugcharacteristics_extended where medicinal_product is not null)),
+b as (select *, list_filter(list_transform(regexp_extract_all(u, '[(]([^)]+)[)]', 1), lambda b: {_KEPT_WORDS('b')}), lambda b: b <> '')[1] inside from p)
+select medicinal_product, coalesce(nullif({_KEPT_WORDS("regexp_replace(u, '[(].*?[)]', ' ', 'g')")}, ''), inside, nullif({_KEPT_WORDS('u')}, ''), trim(regexp_replace({_LETTERS('u')}, ' +', ' ', 'g'))) basename from b""", DRUG)
+def r18_base_name(drug):
     return drug.select("medicinal_product").filter(F.col("medicinal_product").isNotNull()).distinct().withColumn("basename", N.base_name(F.col("medicinal_product")))
 
 
