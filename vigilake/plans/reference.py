@@ -51,6 +51,9 @@ _TITLE = lambda c: f"array_to_string(list_transform(regexp_extract_all(lower({c}
 _STRIP = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 _SORTED = lambda c, cond="": f"list_sort(list(distinct {c}) filter (where {c} is not null{cond}))"
 
+_WHITE = "[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200B}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]"
+_TRIM = lambda c: f"regexp_replace({c}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+
 # --- entity tables -------------------------------------------------------------------------------------------------
 _EVENTS = f"""
 select r.*, cast(trunc(p.patient_custom_master_age) as integer) age_years, p.patient_sex,
@@ -556,7 +559,7 @@ def r60_related_ingredients(listed):
     return L.related_ingredients(ids, related)
 
 
-@query("select medicinal_product, active_substance_name, case when active_substance_name is null then null else list_filter(list_transform(string_split(active_substance_name, ';'), lambda x: trim(x)), lambda x: x <> '' and lower(x) not in ('none', 'null')) end parts from (select distinct medicinal_product, active_substance_name from drugcharacteristics_extended where active_substance_name is null or not contains(active_substance_name, '\\'))", DRUG)
+@query(f"select medicinal_product, active_substance_name, case when active_substance_name is not null then list_filter(list_transform(regexp_split_to_array(active_substance_name, '\\\\|;| [|] '), lambda x: {_TRIM('x')}), lambda x: x <> '' and lower(x) not in ('none', 'null')) end parts from (select distinct medicinal_product, active_substance_name from drugcharacteristics_extended)", DRUG)
 def r61_substance_parts(drug):
     out = drug.select("medicinal_product", "active_substance_name").distinct()
     return out.withColumn("parts", N.substances(F.col("active_substance_name")))
@@ -625,8 +628,6 @@ def strength_and_form():
 
 
 _FORMS = "|".join(sorted(X.DOSAGE_FORMS, key=len, reverse=True))
-_WHITE = "[\\s\\x{0B}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200B}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]"
-_TRIM = lambda c: f"regexp_replace({c}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
 _CLEAN = lambda c: f"array_to_string(list_filter(string_split(regexp_replace(regexp_replace(upper({_TRIM(c)}), '\\.([A-Z]+)\\.', '\\1', 'g'), '[^A-Z0-9 ]', ' ', 'g'), ' '), lambda w: len(w) > 1 and not regexp_full_match(w, '[0-9]+|[0-9]+[A-Z]{{1,2}}|[A-Z]{{1,2}}[0-9]+')), ' ')"
 
 
