@@ -57,9 +57,10 @@ def nearest(df: DataFrame, key: str, name: str, table: DataFrame, least: float =
     Candidates share at least ``share`` of the name's trigrams; so at least one of all but the most common of them that the
     share leaves, which makes the join's keys rare ones. A name of one word also shares its first ``letters`` letters. Before
     the ratio runs, pairs are left out that can't reach it: it implies that the lengths differ by no more than 30 % of their
-    mean, and how many letters are common to both, counted by bits, which never count a common letter as missing."""
+    mean, how many letters are common to both, counted by bits, which never count a common letter as missing, and how many
+    edits lie between them at most, as each letter that isn't matched is one."""
     low = F.lower(F.trim(F.col(name)))
-    left = df.filter(low != "").select(key, low.alias("_a")).withColumns({"_ma": _letters(F.col("_a")), "_la": F.length("_a"), "_ga": _trigrams(F.col("_a"))})
+    left = cut(df.filter(low != "").select(key, low.alias("_a"))).withColumns({"_ma": _letters(F.col("_a")), "_la": F.length("_a"), "_ga": _trigrams(F.col("_a"))})
     right = unique_names(table).filter(F.col("_name") != "").withColumns({"_mb": _letters(F.col("_name")), "_lb": F.length("_name"), "_gb": _trigrams(F.col("_name"))})
     listed = right.select("_name", F.explode("_gb").alias("_g"))
     common = listed.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
@@ -74,6 +75,7 @@ def nearest(df: DataFrame, key: str, name: str, table: DataFrame, least: float =
     needed = least * (F.col("_la") + F.col("_lb")) / 2 - 1e-6  # letters that the ratio asks for
     lacking = lambda m, n: sum((F.bit_count(F.col(m)[k].bitwiseAND(F.bitwise_not(F.col(n)[k]))) for k in (0, 1)), F.lit(0))
     near = near.filter((F.least("_la", "_lb") >= needed) & (F.col("_la") - lacking("_ma", "_mb") >= needed) & (F.col("_lb") - lacking("_mb", "_ma") >= needed))
+    near = near.filter(F.levenshtein("_a", "_name") <= (1 - least) * (F.col("_la") + F.col("_lb")) + 1e-6)
     near = near.filter(~one_word | (F.left("_a", F.lit(letters)) == F.left("_name", F.lit(letters))))
     scored = near.select(key, "_hit", "_as", "_name", similar(F.col("_a"), F.col("_name")).alias("_r")).filter(F.col("_r") >= least)
     hits = scored.groupBy(key).agg(F.min_by(F.struct("_hit", "_as"), F.struct(-F.col("_r"), "_name")).alias("_h")).select(key, "_h._hit", "_h._as")
