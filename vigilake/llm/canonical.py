@@ -54,6 +54,8 @@ _SOUND = [(re.compile(p), r) for p, r in ((r"PH", "F"), (r"QU|KW", "KV"), (r"CK"
 
 def upper(text: str) -> str:
     """Compatibility forms, no invisible characters, no accents, upper case."""
+    if text.isascii():
+        return text.upper()
     text = unicodedata.normalize("NFKC", _INVISIBLE.sub("", text)).upper().translate(_OTHER_LETTERS)
     if not text.isascii():
         text = "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
@@ -84,6 +86,13 @@ def distance(a: str, b: str, most: int) -> int:
     """Edits from a to b, a swap of neighbours counting as one; ``most`` + 1 if there are more."""
     if abs(len(a) - len(b)) > most:
         return most + 1
+    first, end = 0, min(len(a), len(b))
+    while first < end and a[first] == b[first]:
+        first += 1
+    last, end = 0, end - first
+    while last < end and a[-1 - last] == b[-1 - last]:
+        last += 1
+    a, b = a[first : len(a) - last], b[first : len(b) - last]
     two, one = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row = [i]
@@ -95,41 +104,40 @@ def distance(a: str, b: str, most: int) -> int:
         if min(row) > most:
             return most + 1
         two, one = one, row
-    return one[-1]
+    return min(one[-1], most + 1)
 
 
-def deletions(word: str, most: int) -> Iterator[str]:
-    """The word, and what is left of it with up to ``most`` letters dropped."""
-    yield word
-    left = [(word, 0)]  # with the place from which letters may still go, so that none comes up twice
-    for _ in range(min(most, len(word) - 1)):
-        left = [(w[:j] + w[j + 1 :], j) for w, i in left for j in range(i, len(w))]
-        for w, _ in left:
-            yield w
+def deletions(word: str, most: int) -> list[str]:
+    """The word, and what is left of it with up to ``most`` letters, two at most, dropped."""
+    n, out = len(word), [word]
+    if most > 0 and n > 1:
+        out += [word[:i] + word[i + 1 :] for i in range(n)]
+    if most > 1 and n > 2:
+        out += [word[:i] + word[i + 1 : j] + word[j + 1 :] for i in range(n) for j in range(i + 1, n)]
+    return out
 
 
-def _own_keys(word: str) -> Iterator[str]:
+def _own_keys(word: str) -> set[str]:
     """The index keys of a known word: its deletions, or, if it is long, one-letter deletions of its halves: of two edits
     at most, one half has one at most. Keys of halves carry a mark."""
     if len(word) < HALVES_FROM:
-        yield from deletions(word, edits_allowed(len(word)))
-    else:
-        h = len(word) // 2
-        yield from ("<" + x for x in deletions(word[:h], 1))
-        yield from (">" + x for x in deletions(word[h:], 1))
+        return set(deletions(word, edits_allowed(len(word))))
+    h = len(word) // 2
+    return {*(x for x in deletions("<" + word[:h], 1) if x[:1] == "<"), *(x for x in deletions(">" + word[h:], 1) if x[:1] == ">")}
 
 
-def _asked_keys(word: str) -> Iterator[str]:
+def _asked_keys(word: str) -> set[str]:
     """The keys under which known words within the edits may stand."""
-    n, most = len(word), edits_allowed(len(word))
+    n, most, out = len(word), edits_allowed(len(word)), set()
     if n - most < HALVES_FROM:
-        yield from deletions(word, most)
+        out.update(deletions(word, most))
     if n + most >= HALVES_FROM:
         known = range(max(HALVES_FROM, n - most), n + most + 1)
         for k in {k for m in known for k in range(m // 2 - 1, m // 2 + 2) if k <= n}:
-            yield from ("<" + x for x in deletions(word[:k], 1))
+            out.update(deletions("<" + word[:k], 1))
         for k in {k for m in known for k in range(m - m // 2 - 1, m - m // 2 + 2) if k <= n}:
-            yield from (">" + x for x in deletions(word[n - k :], 1))
+            out.update(deletions(">" + word[n - k :], 1))
+    return out
 
 
 class Nearest:
@@ -138,7 +146,7 @@ class Nearest:
     def __init__(self, known: Iterable[str]):
         self.index: dict[str, str | list[str]] = {}
         for w in set(known):
-            for x in set(_own_keys(w)):
+            for x in _own_keys(w):
                 held = self.index.get(x)
                 if held is None:
                     self.index[x] = w
@@ -148,11 +156,10 @@ class Nearest:
                     held.append(w)
 
     def find(self, word: str) -> list[tuple[int, str]]:
-        most, near, get = edits_allowed(len(word)), set(), self.index.get
-        for x in set(_asked_keys(word)):
-            held = get(x)
-            if held is not None:
-                near.add(held) if held.__class__ is str else near.update(held)
+        most, near, index = edits_allowed(len(word)), set(), self.index
+        for x in index.keys() & _asked_keys(word):
+            held = index[x]
+            near.add(held) if held.__class__ is str else near.update(held)
         found = ((distance(word, w, k := min(most, edits_allowed(len(w)))), w, k) for w in near)
         return sorted((d, w) for d, w, k in found if d <= k)
 
