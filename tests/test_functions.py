@@ -68,3 +68,16 @@ def test_no_row_is_left_out_for_its_signs(spark, tmp_path):
     spark.createDataFrame([("a b", "A\\B;none"), ("a&b/é~*", None)], "medicinal_product string, active_substance_name string").write.parquet(f"{tmp_path}/drugcharacteristics_extended.parquet")
     assert {r[0]: r.parts for r in QUERIES["r61_substance_parts"](spark, str(tmp_path)).collect()} == {"a b": ["A", "B"], "a&b/é~*": None}
     assert {r[0]: r.quoted for r in QUERIES["r57_url_quote"](spark, str(tmp_path)).collect()} == {"a b": "a%20b", "a&b/é~*": "a%26b%2F%C3%A9~%2A"}
+
+
+def test_ratio_and_its_bound(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice("abcé") for _ in range(rng.randrange(0, 9)))
+    pairs = [(text(), text()) for _ in range(300)] + [(None, "a"), ("a", None)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for r in df.select("a", "b", N.similar(F.col("a"), F.col("b")).alias("r"), N.similar(F.col("a"), F.col("b"), 0.7).alias("q")).collect():
+        exact = None if r.a is None or r.b is None else SequenceMatcher(None, r.a, r.b).ratio()
+        assert r.r == exact and (r.q == exact if exact is not None and exact >= 0.7 else r.q is None or r.q == exact)

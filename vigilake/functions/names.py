@@ -120,8 +120,20 @@ def text_or_null(c: Column) -> Column:
     return F.when(~F.lower(t).isin("", "none", "null"), t)
 
 
-def similar(a: Column, b: Column) -> Column:
-    """The matching-blocks ratio of two texts, case ignored; no built-in has it, so it runs on what blocking leaves."""
+def common_subsequence(a: str, masks: dict[str, int], n: int) -> int:
+    """The length of the longest common subsequence of ``a`` and a text of ``n`` characters, by bits: ``masks`` has each of
+    its characters' places."""
+    full = (1 << n) - 1
+    v = full
+    for ch in a:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
+
+
+def similar(a: Column, b: Column, least: float = 0.0) -> Column:
+    """The matching-blocks ratio of two texts, case ignored; no built-in has it, so it runs on what blocking leaves. Null if
+    the longest common subsequence, which matching blocks are at most, shows that it is below ``least``."""
 
     @F.pandas_udf(T.DoubleType())
     def ratio(x, y):  # noqa: ANN001, ANN202
@@ -129,7 +141,24 @@ def similar(a: Column, b: Column) -> Column:
 
         import pandas as pd
 
-        return pd.Series([None if p is None or q is None else SequenceMatcher(None, p.lower(), q.lower()).ratio() for p, q in zip(x, y)], dtype="float64")
+        known: dict[str, dict[str, int]] = {}
+        out = []
+        for p, q in zip(x, y):
+            r = None
+            if p is not None and q is not None:
+                p, q = p.lower(), q.lower()
+                if least and p and q:
+                    if (masks := known.get(q)) is None:
+                        masks = known[q] = {}
+                        for i, ch in enumerate(q):
+                            masks[ch] = masks.get(ch, 0) | 1 << i
+                    possible = 2 * common_subsequence(p, masks, len(q)) >= least * (len(p) + len(q)) - 1e-9
+                else:
+                    possible = True
+                if possible:
+                    r = SequenceMatcher(None, p, q).ratio()
+            out.append(r)
+        return pd.Series(out, dtype="float64")
 
     return ratio(a, b)
 

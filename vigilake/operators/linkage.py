@@ -77,7 +77,7 @@ def nearest(df: DataFrame, key: str, name: str, table: DataFrame, least: float =
     near = near.filter((F.least("_la", "_lb") >= needed) & (F.col("_la") - lacking("_ma", "_mb") >= needed) & (F.col("_lb") - lacking("_mb", "_ma") >= needed))
     near = near.filter(F.levenshtein("_a", "_name") <= (1 - least) * (F.col("_la") + F.col("_lb")) + 1e-6)
     near = near.filter(~one_word | (F.left("_a", F.lit(letters)) == F.left("_name", F.lit(letters))))
-    scored = near.select(key, "_hit", "_as", "_name", similar(F.col("_a"), F.col("_name")).alias("_r")).filter(F.col("_r") >= least)
+    scored = near.select(key, "_hit", "_as", "_name", similar(F.col("_a"), F.col("_name"), least).alias("_r")).filter(F.col("_r") >= least)
     hits = scored.groupBy(key).agg(F.min_by(F.struct("_hit", "_as"), F.struct(-F.col("_r"), "_name")).alias("_h")).select(key, "_h._hit", "_h._as")
     return df.join(hits, key, "left")
 
