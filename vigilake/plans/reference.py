@@ -660,9 +660,6 @@ def r75_clean_name_as_typed(drug):
     return drug.select("medicinal_product").distinct().withColumn("clean", N.clean_name(F.col("medicinal_product"), compat=False))
 
 
-_ALL = "medicinal_product"
-
-
 @query(f"""with p as (select distinct medicinal_product from drugcharacteristics_extended where medicinal_product is not null),
 b as (select medicinal_product, list_filter(regexp_extract_all(upper(medicinal_product), '[(](.*?)[)]', 1), lambda x: regexp_matches(x, '[+;]'))[1] b from p)
 select medicinal_product, list_filter(list_transform(regexp_split_to_array(b, '[+;]'), lambda x: {_TRIM('x')}), lambda x: x <> '' and x not in {_list(X.BRACKET_QUALIFIERS)} and not regexp_matches(x, '^[0-9]')) parts,
